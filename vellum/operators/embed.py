@@ -79,9 +79,20 @@ def ntile_index(r0: Column, n: Column, k: Column) -> Column:
 
 
 def embed_batches(chunks: DataFrame, order_cols: Sequence[str], tokens_col: str = "tokens",
-                  per_batch: int = TOKENS_PER_BATCH) -> DataFrame:
-    """Adds ``batch`` (0-based) and ``n_batches`` following the reference split."""
-    numbered = global_row_number(chunks, order_cols, "_rn", sum_col=tokens_col)
+                  per_batch: int = TOKENS_PER_BATCH, keep: Sequence[str] = ("id",),
+                  checkpoint: bool = True) -> DataFrame:
+    """``keep`` columns + tokens + ``batch`` (0-based) and ``n_batches``.
+
+    The numbering reads its input three times (range sample, counts, rows);
+    with ``checkpoint`` the narrow key/token projection is first written to
+    the shared checkpoint folder, so the upstream chunking runs once and a
+    lost executor does not recompute it.
+    """
+    cols = list(dict.fromkeys([*keep, *order_cols, tokens_col]))
+    narrow = chunks.select(*cols)
+    if checkpoint:
+        narrow = narrow.checkpoint(eager=True)
+    numbered = global_row_number(narrow, order_cols, "_rn", sum_col=tokens_col)
     k = F.greatest(F.floor(F.col("_total") / per_batch), F.lit(1))
     return (numbered
             .withColumn("n_batches", k.cast("int"))

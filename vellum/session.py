@@ -73,6 +73,19 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([root, "vellum", *tail])
 
 
+def spread(df):
+    """Give CPU-heavy row work at least one partition per core.
+
+    Only repartitions when the input has fewer splits than the default
+    parallelism (small inputs stored as a few row groups); on a cluster
+    reading many splits this is a no-op, so no extra shuffle of the corpus.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.html import html_text, html_title
 from vellum.functions.text import TXT_SOURCE, universal_newlines
-from vellum.session import read_table
+from vellum.session import read_table, spread
 
 ADMITTED_PATTERN = r"\.(pdf|html|txt)$"
 METADATA_TYPE = "struct<source:string,title:string,path:string,page:int>"
@@ -69,8 +69,8 @@ def scan_corpus(spark: SparkSession, root: str, subject: str) -> DataFrame:
                .load(folder))
     except AnalysisException as exc:  # path does not exist
         raise FileNotFoundError(f"Folder not found: {folder}") from exc
-    return raw.select(F.lit(subject).alias("subject"), F.col("path"),
-                      file_format("path").alias("format"), F.col("content"))
+    return spread(raw.select(F.lit(subject).alias("subject"), F.col("path"),
+                             file_format("path").alias("format"), F.col("content")))
 
 
 def decode_utf8(content: Column, strict: bool = False) -> Column:
@@ -168,11 +168,11 @@ def corpus_files_from_tables(spark: SparkSession, sf_dir: str,
         F.format_string("corpus/%s/doc-%d.txt", F.col("lang"), F.col("doc_id")).alias("path"),
         F.lit("txt").alias("format"), F.col("text").alias("content"))
     if not include_pages:
-        return docs
+        return spread(docs)
     pages = read_table(spark, sf_dir, "pages").select(
         F.coalesce(F.nullif(F.regexp_extract("url", PAGE_SUBJECT_PATTERN, 1), F.lit("")), F.lit("web")).alias("subject"),
         F.col("page_id"), F.col("html"))
     pages = pages.select(
         "subject", F.format_string("corpus/%s/page-%d.html", F.col("subject"), F.col("page_id")).alias("path"),
         F.lit("html").alias("format"), F.col("html").alias("content"))
-    return docs.unionByName(pages)
+    return spread(docs.unionByName(pages))
