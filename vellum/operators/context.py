@@ -71,12 +71,3 @@ def build_prompt(context="context", question="question") -> Column:
 def user_messages(prompt="prompt") -> Column:
     p = F.col(prompt) if isinstance(prompt, str) else prompt
     return F.array(F.struct(F.lit(USER_ROLE).alias("role"), p.alias("content")))
-
-
-def turn_messages(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                  role: str = "role", text: str = "text") -> DataFrame:
-    """Chat message arrays from turn rows, in turn order (one row per key)."""
-    return turns.groupBy(key).agg(F.transform(
-        F.sort_array(F.collect_list(F.struct(F.col(order).alias("t"), F.col(role).alias("role"),
-                                             F.col(text).alias("content")))),
-        lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))

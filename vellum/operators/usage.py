@@ -68,5 +68,7 @@ def append_usage(usage: DataFrame, path: str) -> None:
     usage.select(*[f.name for f in USAGE_SCHEMA.fields]).write.mode("append").parquet(path)
 
 
-def read_usage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(USAGE_SCHEMA).parquet(path)
+def read_usage(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
+    """Ledger rows; a request appended twice (a re-run job) counts once."""
+    df = spark.read.schema(USAGE_SCHEMA).parquet(path)
+    return df.dropDuplicates(["request_id"]) if dedupe else df

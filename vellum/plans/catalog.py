@@ -23,8 +23,8 @@ from vellum.operators.embed import (HASH_MODEL, HashEmbedder, attach_embeddings,
                                     embed_batches, hash_embed, token_guard)
 from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
                                        echo_responder, generate, request_configs)
-from vellum.operators.retrieve import (rank_top_k, render, score_sets, score_sets_native,
-                                       top_k_single)
+from vellum.operators.retrieve import (packed_query_sets, rank_top_k, render, score_sets,
+                                       score_sets_native, top_k_single)
 from vellum.operators.usage import append_usage, cost_rates, read_usage, usage_by_model, usage_cost
 from vellum.plans import sql as S
 from vellum.plans.build import chunk_corpus, store_rows
@@ -57,10 +57,7 @@ def files(spark, sf):
 
 
 def txt_docs(spark, sf):
-    return load_text(corpus_files_from_tables(spark, sf, include_pages=False)).join(
-        read_table(spark, sf, "documents").select(
-            F.format_string("corpus/%s/doc-%d.txt", F.col("lang"), F.col("doc_id")).alias("path"), "doc_id"),
-        "path")
+    return load_text(corpus_files_from_tables(spark, sf, include_pages=False, keep_ids=True))
 
 
 def corpus_docs(spark, sf):
@@ -314,11 +311,10 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
 
     # P10 + J1: dot products of every stored vector with every question vector
     def similarity_scores(sp, sf):
-        qs = questions(sp, sf)
-        packed = qs.select(F.collect_list(F.struct("query_set_id", "embedding")).alias("qs")).scalar()
+        packed = packed_query_sets(questions(sp, sf))  # size-checked scalar subquery
         db = label_db(sp, sf).select("vec_id", "embedding", packed.alias("_qs"))
-        pairs = db.select("vec_id", F.explode(F.transform("_qs", lambda q: F.struct(
-            q["query_set_id"].alias("item_id"), dot(F.col("embedding"), q["embedding"]).alias("s")))).alias("p"))
+        pairs = db.select("vec_id", F.explode(F.transform("_qs", lambda g: F.struct(
+            g["s"].alias("item_id"), dot(F.col("embedding"), g["vs"][0]).alias("s")))).alias("p"))
         return pairs.select("vec_id", F.col("p.item_id").alias("item_id"), F.round("p.s", 6).alias("similarity"))
     R["similarity_scores"] = (
         similarity_scores,
@@ -333,7 +329,7 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
         cent = (dims.groupBy("label", "i").agg(F.avg("x").alias("m"))
                 .groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))),
                                                   lambda t: t["m"]).alias("centroid")))
-        return (db.join(F.broadcast(cent), "label")
+        return (db.join(cent, "label")
                 .select("vec_id", "label", F.round(cosine("embedding", "centroid"), 6).alias("cosine")))
     R["cosine_scores"] = (
         cosine_scores,

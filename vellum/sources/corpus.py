@@ -92,11 +92,16 @@ def _metadata(source: Column, title: Column, path: Column, page: Column) -> Colu
                     path.cast("string").alias("path"), page.cast("int").alias("page"))
 
 
+def _extra(files: DataFrame) -> list[str]:
+    """Caller columns carried through the loaders (e.g. a source row id)."""
+    return [c for c in files.columns if c not in ("subject", "path", "format", "content")]
+
+
 def load_text(files: DataFrame) -> DataFrame:
     """Whole file as one document, read as Python text mode would (universal newlines)."""
     txt = files.where(F.col("format") == "txt")
     return txt.select(
-        "subject", "path", "format", F.lit(None).cast("int").alias("page"),
+        *_extra(txt), "subject", "path", "format", F.lit(None).cast("int").alias("page"),
         universal_newlines(_text_content(txt)).alias("page_content"),
         _metadata(F.lit(TXT_SOURCE), F.lit(None), F.col("path"), F.lit(None)).alias("metadata"))
 
@@ -161,9 +166,13 @@ PAGE_SUBJECT_PATTERN = r"^[a-z]+://[^/]+/([a-z]{2})(/|$)"
 
 
 def corpus_files_from_tables(spark: SparkSession, sf_dir: str,
-                             include_pages: bool = True) -> DataFrame:
-    """``documents`` as txt files, ``pages`` as html files: (subject, path, format, content)."""
+                             include_pages: bool = True, keep_ids: bool = False) -> DataFrame:
+    """``documents`` as txt files, ``pages`` as html files: (subject, path, format, content).
+
+    With ``keep_ids`` (documents only) the source ``doc_id`` rides along.
+    """
     docs = read_table(spark, sf_dir, "documents").select(
+        *(["doc_id"] if keep_ids and not include_pages else []),
         F.col("lang").alias("subject"),
         F.format_string("corpus/%s/doc-%d.txt", F.col("lang"), F.col("doc_id")).alias("path"),
         F.lit("txt").alias("format"), F.col("text").alias("content"))
