@@ -57,3 +57,14 @@ def test_split_documents_keeps_parent_and_filters(spark):
     assert [r.content for r in out] == expected and len(expected) < len(split_text("ab abc abcd", 4, 1))
     assert all(r.meta == "m" and r.id == 1 for r in out)
     assert "page_content" not in out[0].asDict()
+
+
+def test_large_document_is_linear(spark):
+    """One long document (the whole sf0.001 corpus joined) chunks like the
+    plain splitter; the blocked fold must not degrade with length."""
+    from vellum.functions.text import normalise_whitespace
+    from vellum.session import read_table
+    docs = read_table(spark, SF0001, "documents").orderBy("doc_id").select(normalise_whitespace("text").alias("t"))
+    text = " ".join(r.t for r in docs.collect())
+    got = chunks(spark, [text], 512, 64)[0]
+    assert got == split_text(text, 512, 64)

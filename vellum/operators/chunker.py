@@ -17,7 +17,10 @@ before chunking, so only the space and the character level matter:
 * with ``size == 1`` every character is its own chunk, unstripped.
 
 The fold runs once per emitted chunk (``aggregate`` over a bounded step
-sequence) inside the JVM; no row leaves it.
+sequence) inside the JVM; no row leaves it.  The text is cut into blocks of
+``2*size+2`` characters first and every step works on two blocks, so the
+cost per document is linear in its length (string positions in Spark are
+code-point offsets that would otherwise be re-walked from the start).
 """
 
 from __future__ import annotations
@@ -46,13 +49,48 @@ def _span(a: Column, b: Column) -> Column:
     return F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
 
 
+def _blocks(x: Column, block: int) -> Column:
+    """The text cut into consecutive blocks of ``block`` code points."""
+    return F.regexp_extract_all(x, F.lit(f"(?s).{{1,{block}}}"), 0)
+
+
+def _window(blocks: Column, b: Column) -> Column:
+    """Blocks ``b`` and ``b+1`` (0-based) concatenated; missing blocks are empty."""
+    return F.concat(F.coalesce(F.get(blocks, b), F.lit("")), F.coalesce(F.get(blocks, b + 1), F.lit("")))
+
+
 def chunk_spans(text, size: int, overlap: int) -> Column:
     """``array<struct<start,end>>`` of 0-based windows (before stripping)."""
     check_chunk_params(size, overlap)
     x = F.col(text) if isinstance(text, str) else text
-    n = F.length(x)
+    return let(_blocks(x, 2 * size + 2), lambda bl: _spans_with(x, bl, size, overlap))
+
+
+def _spans_with(x: Column, blocks: Column, size: int, overlap: int) -> Column:
+    """The fold.  Positions are absolute, but every lookup runs inside a
+    window of two blocks of ``2*size+2`` characters around the current start,
+    so one step costs O(size) whatever the document length; only the end of
+    a piece longer than the window is searched in the whole text."""
+    return let(F.length(x), lambda n: _fold(x, n, blocks, size, overlap))
+
+
+def _emit(start: Column, end: Column) -> Column:
+    return F.concat(start.cast("string"), F.lit(":"), end.cast("string"), F.lit(","))
+
+
+def _parse_spans(out: Column) -> Column:
+    pairs = F.filter(F.split(out, ","), lambda p: p != "")
+    return F.transform(pairs, lambda p: _span(F.substring_index(p, ":", 1).cast("int"),
+                                               F.substring_index(p, ":", -1).cast("int")))
+
+
+def _fold(x: Column, n: Column, blocks: Column, size: int, overlap: int) -> Column:
+    """The emitted windows accumulate as a ``start:end,`` string: Spark copies
+    the fold state on every iteration, and a string copies as one memcpy
+    where an array of structs copies row by row."""
     st = max(1, size - overlap)
-    empty = F.array().cast(SPAN_TYPE)
+    B = 2 * size + 2
+    empty = F.lit("")
 
     def state(s, done, out) -> Column:
         return F.struct(s.cast("int").alias("s"), done.alias("done"), out.alias("out"))
@@ -60,46 +98,92 @@ def chunk_spans(text, size: int, overlap: int) -> Column:
     def step(acc: Column, _i: Column) -> Column:
         s = acc["s"]
         out = acc["out"]
-
-        def at_e(e: Column) -> Column:
-            def at_e2(e2: Column) -> Column:
-                long_piece = (e2 - e) >= size
-                extra = F.ceil(F.greatest(F.lit(0), e2 - e - size) / F.lit(st)).cast("int")
-                windows = F.transform(
-                    F.sequence(F.lit(0), extra),
-                    lambda k: _span(e + k * st, F.least(e + k * st + size, e2)))
-                head = F.when(e > s, F.array(_span(s, e))).otherwise(empty)
-                lo = F.greatest(s, e - overlap, e2 - size)
-                s_next = _fn("locate", F.lit(" "), x, lo + 1) - 1
-                return (F.when(long_piece, state(e2, e2 >= n, F.concat(out, head, windows)))
-                        .otherwise(state(s_next, F.lit(False), F.concat(out, F.array(_span(s, e))))))
-
-            p = _fn("locate", F.lit(" "), x, e + 2)
-            return let(F.when(p > 0, p - 1).otherwise(n), at_e2)
-
-        r = _fn("instr", F.reverse(x.substr(s + 2, F.lit(size))), F.lit(" "))
-        e = F.when(r > 0, s + size - r + 1).otherwise(s)
-        tail = state(n, F.lit(True), F.concat(out, F.array(_span(s, n))))
+        b = F.floor(s / F.lit(B)).cast("int")
+        o = b * B
+
+        def in_window(win: Column) -> Column:
+            def at_e(e: Column) -> Column:
+                p = _fn("locate", F.lit(" "), win, e - o + 2)
+                global_p = _fn("locate", F.lit(" "), x, e + 2)
+                e2_expr = (F.when(p > 0, o + p - 1)
+                           .when(o + F.length(win) >= n, n)
+                           .when(global_p > 0, global_p - 1)
+                           .otherwise(n))
+
+                def at_e2(e2: Column) -> Column:
+                    long_piece = (e2 - e) >= size
+                    extra = F.ceil(F.greatest(F.lit(0), e2 - e - size) / F.lit(st)).cast("int")
+                    windows = F.array_join(F.transform(
+                        F.sequence(F.lit(0), extra),
+                        lambda k: _emit(e + k * st, F.least(e + k * st + size, e2))), "")
+                    head = F.when(e > s, _emit(s, e)).otherwise(empty)
+                    lo = F.greatest(s, e - overlap, e2 - size)
+                    s_next = o + _fn("locate", F.lit(" "), win, lo - o + 1) - 1
+                    return (F.when(long_piece, state(e2, e2 >= n, F.concat(out, head, windows)))
+                            .otherwise(state(s_next, F.lit(False), F.concat(out, _emit(s, e)))))
+
+                return let(e2_expr, at_e2)
+
+            r = _fn("instr", F.reverse(win.substr(s - o + 2, F.lit(size))), F.lit(" "))
+            return let(F.when(r > 0, s + size - r + 1).otherwise(s), at_e)
+
+        tail = state(n, F.lit(True), F.concat(out, _emit(s, n)))
         return (F.when(acc["done"], acc)
                 .when(n - s <= size, tail)
-                .otherwise(let(e, at_e)))
+                .otherwise(let(_window(blocks, b), in_window)))
+
+    # At most one step per piece boundary is needed, but ordinary text needs
+    # about n / (size - overlap).  (1) The steps run as an outer fold over
+    # rounds of about sqrt(2 * bound) inner steps, so the inner state holds
+    # only its round's output and finished rounds are skipped; (2) a first
+    # pass uses a tight estimate and the full bound is used only if that pass
+    # did not finish.
+    def run(bound: Column) -> Column:
+        def with_sizes(cfg: Column) -> Column:
+            def one_round(acc: Column, _j: Column) -> Column:
+                inner = F.aggregate(F.sequence(F.lit(1), cfg["per_round"]),
+                                    state(acc["s"], acc["done"], empty), step)
+                return F.when(acc["done"], acc).otherwise(
+                    state(inner["s"], inner["done"], F.concat(acc["out"], inner["out"])))
+
+            return F.aggregate(F.sequence(F.lit(1), cfg["rounds"]), state(F.lit(0), n == 0, empty), one_round)
+
+        # loop sizes are computed once per document, not once per round
+        per_round = F.greatest(F.lit(16), F.ceil(F.sqrt(bound * 2)).cast("int"))
+        return let(F.struct(per_round.alias("per_round"),
+                            F.ceil(bound / per_round).cast("int").alias("rounds")), with_sizes)
+
+    def finish(full_bound: Column) -> Column:
+        estimate = F.least(full_bound, F.ceil(n / F.lit(st)).cast("int") * 2 + 4)
+        return let(run(estimate), lambda r: F.when(r["done"], r["out"]).otherwise(run(full_bound)["out"]))
 
-    spaces = n - F.length(F.regexp_replace(x, " ", ""))
-    init = state(F.lit(0), n == 0, empty)
-    return F.aggregate(F.sequence(F.lit(0), spaces + 1), init, step)["out"]
+    out = let(n - F.length(F.regexp_replace(x, " ", "")) + 2, finish)
+    return _parse_spans(out)
 
 
 def chunk_array(text, size: int, overlap: int) -> Column:
-    """``array<struct<start,end,content>>`` of the final (stripped, non-empty) chunks."""
+    """``array<struct<start,end,content>>`` of the final (stripped, non-empty) chunks.
+
+    Chunk text is cut from the two blocks around its start, so extracting a
+    chunk costs O(size), not O(position).
+    """
+    check_chunk_params(size, overlap)
     x = F.col(text) if isinstance(text, str) else text
-    spans = chunk_spans(x, size, overlap)
+    B = 2 * size + 2
+
+    def with_blocks(blocks: Column) -> Column:
+        spans = _spans_with(x, blocks, size, overlap)
+
+        def piece(c: Column) -> Column:
+            b = F.floor(c["start"] / F.lit(B)).cast("int")
+            win = _window(blocks, b)
+            raw = win.substr(c["start"] - b * B + 1, c["end"] - c["start"])
+            content = raw if size == 1 else py_strip(raw)
+            return F.struct(c["start"].alias("char_start"), c["end"].alias("char_end"), content.alias("content"))
 
-    def piece(c: Column) -> Column:
-        raw = x.substr(c["start"] + 1, c["end"] - c["start"])
-        content = raw if size == 1 else py_strip(raw)
-        return F.struct(c["start"].alias("char_start"), c["end"].alias("char_end"), content.alias("content"))
+        return F.filter(F.transform(spans, piece), lambda c: F.length(c["content"]) > 0)
 
-    return F.filter(F.transform(spans, piece), lambda c: F.length(c["content"]) > 0)
+    return let(_blocks(x, B), with_blocks)
 
 
 def split_documents(df: DataFrame, text_col: str = "page_content", size: int = 512,
