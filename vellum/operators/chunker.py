@@ -124,8 +124,8 @@ def _fold(x: Column, n: Column, blocks: Column, size: int, overlap: int) -> Colu
 
                 return let(e2_expr, at_e2)
 
-            r = _fn("instr", F.reverse(win.substr(s - o + 2, F.lit(size))), F.lit(" "))
-            return let(F.when(r > 0, s + size - r + 1).otherwise(s), at_e)
+            last_space = _fn("instr", F.reverse(win.substr(s - o + 2, F.lit(size))), F.lit(" "))
+            return let(let(last_space, lambda r: F.when(r > 0, s + size - r + 1).otherwise(s)), at_e)
 
         tail = state(n, F.lit(True), F.concat(out, _emit(s, n)))
         return (F.when(acc["done"], acc)
@@ -144,7 +144,7 @@ def _fold(x: Column, n: Column, blocks: Column, size: int, overlap: int) -> Colu
                 inner = F.aggregate(F.sequence(F.lit(1), cfg["per_round"]),
                                     state(acc["s"], acc["done"], empty), step)
                 return F.when(acc["done"], acc).otherwise(
-                    state(inner["s"], inner["done"], F.concat(acc["out"], inner["out"])))
+                    let(inner, lambda r: state(r["s"], r["done"], F.concat(acc["out"], r["out"]))))
 
             return F.aggregate(F.sequence(F.lit(1), cfg["rounds"]), state(F.lit(0), n == 0, empty), one_round)
 
