@@ -77,3 +77,18 @@ def test_entry_and_oracle_keys(spark):
     out = E.entry(spark)
     assert out.count() == 40
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_blocked_query_side_is_exact(spark):
+    emb = read_table(spark, SF0001, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    qs = emb.select(F.col("label").cast("bigint").alias("query_set_id"), F.col("vec_id").alias("query_id"), "embedding")
+    cols = ["query_set_id", "rank", "vec_id", "similarity"]
+    whole = rank_top_k(score_sets(emb, qs, k=5, threshold=0.15, id_col="vec_id", dim=64), 5, id_col="vec_id")
+    blocked = rank_top_k(score_sets(emb, qs, k=5, threshold=0.15, id_col="vec_id", dim=64, max_vectors=60),
+                         5, id_col="vec_id")
+    assert sorted(whole.select(*cols).collect()) == sorted(blocked.select(*cols).collect())
+    a = score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64)
+    b = score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64, max_vectors=60)
+    key = ["query_set_id", "vec_id", "score"]
+    assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())

@@ -1,0 +1,17 @@
+"""Join helper: broadcast a side only after its size is checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``small`` when it has at most ``max_rows`` rows (counted),
+    otherwise a shuffle join (AQE splits skewed partitions)."""
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

@@ -46,11 +46,34 @@ def check_top_k(k: int) -> None:
         raise ValueError("top_k must be >= 0")
 
 
-def _query_sets_local(queries: DataFrame, set_col: str, vec_col: str, dim: int | None):
+def query_blocks(queries: DataFrame, set_col: str = "query_set_id",
+                 max_vectors: int | None = None) -> list[DataFrame]:
+    """Split the query side into blocks of at most about ``max_vectors`` rows.
+
+    Rows are spread by a hash of (set, query) so that even one huge query
+    set is divided evenly; the maximum over a set is combined across blocks
+    afterwards.  One block (no split) in the usual case.
+    """
+    limit = max_vectors or MAX_QUERY_VECTORS
     n = queries.count()
-    if n > MAX_QUERY_VECTORS:
-        raise ValueError(f"{n} query vectors exceed the broadcast bound {MAX_QUERY_VECTORS}; "
-                         "split the query sets into blocks")
+    if n <= limit:
+        return [queries]
+    blocks = -(-2 * n // limit)
+    key = F.pmod(F.xxhash64(*[F.col(c) for c in queries.columns if c != "embedding"]), F.lit(blocks))
+    tagged = queries.withColumn("_block", key)
+    return [tagged.where(F.col("_block") == b).drop("_block") for b in range(blocks)]
+
+
+def _combine_blocks(parts: list[DataFrame], id_col: str, set_col: str) -> DataFrame:
+    if len(parts) == 1:
+        return parts[0]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(set_col, id_col).agg(F.max("score").alias("score"))
+
+
+def _query_sets_local(queries: DataFrame, set_col: str, vec_col: str, dim: int | None):
     rows = (queries.select(F.col(set_col).cast("bigint").alias("s"), F.col(vec_col).cast("array<double>").alias("v"))
             .orderBy("s").collect())
     if not rows:
@@ -84,9 +107,24 @@ def _prune(set_idx: np.ndarray, score: np.ndarray, ids: pa.Array, k: int):
 
 def score_sets(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
                id_col: str = "id", vec_col: str = "embedding",
-               set_col: str = "query_set_id", dim: int | None = None) -> DataFrame:
-    """Candidate rows ``(query_set_id, <id_col>, score)`` via Arrow + BLAS."""
+               set_col: str = "query_set_id", dim: int | None = None,
+               max_vectors: int | None = None) -> DataFrame:
+    """Candidate rows ``(query_set_id, <id_col>, score)`` via Arrow + BLAS.
+
+    Every row that can be in a set's top-k is among the candidates: per
+    block of query vectors, a chunk that wins globally is within the block's
+    top-k where its maximum is reached, so per-block top-k followed by the
+    maximum over blocks loses nothing.
+    """
     check_top_k(k)
+    parts = [_score_block(db, qb, k=k, threshold=threshold, id_col=id_col, vec_col=vec_col,
+                          set_col=set_col, dim=dim)
+             for qb in query_blocks(queries, set_col, max_vectors)]
+    return _combine_blocks(parts, id_col, set_col)
+
+
+def _score_block(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
+                 id_col: str, vec_col: str, set_col: str, dim: int | None) -> DataFrame:
     spark: SparkSession = db.sparkSession
     set_ids, starts, mat = _query_sets_local(queries, set_col, vec_col, dim)
     id_type = dict(db.select(id_col).dtypes)[id_col]
@@ -136,11 +174,15 @@ def score_sets(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
 
 
 def packed_query_sets(queries: DataFrame, set_col: str = "query_set_id",
-                      vec_col: str = "embedding") -> Column:
-    """Scalar subquery: ``array<struct<set, vectors>>`` of all query sets (size-checked)."""
-    n = queries.count()
-    if n > MAX_QUERY_VECTORS:
-        raise ValueError(f"{n} query vectors exceed the bound {MAX_QUERY_VECTORS}")
+                      vec_col: str = "embedding", checked: bool = False) -> Column:
+    """Scalar subquery: ``array<struct<set, vectors>>`` of the query sets.
+
+    The caller passes a block already bounded by ``query_blocks`` (or the
+    count is checked here)."""
+    if not checked:
+        n = queries.count()
+        if n > MAX_QUERY_VECTORS:
+            raise ValueError(f"{n} query vectors exceed the bound {MAX_QUERY_VECTORS}; use query_blocks")
     per_set = queries.groupBy(F.col(set_col).cast("bigint").alias("s")).agg(
         F.collect_list(F.col(vec_col).cast("array<double>")).alias("vs"))
     return per_set.agg(F.collect_list(F.struct("s", "vs")).alias("sets")).scalar()
@@ -148,9 +190,19 @@ def packed_query_sets(queries: DataFrame, set_col: str = "query_set_id",
 
 def score_sets_native(db: DataFrame, queries: DataFrame, *, threshold: float,
                       id_col: str = "id", vec_col: str = "embedding",
-                      set_col: str = "query_set_id", dim: int | None = None) -> DataFrame:
-    """All passing ``(query_set_id, id, score)`` rows, computed in the JVM."""
-    packed = packed_query_sets(queries, set_col, vec_col)
+                      set_col: str = "query_set_id", dim: int | None = None,
+                      max_vectors: int | None = None) -> DataFrame:
+    """All passing ``(query_set_id, id, score)`` rows, computed in the JVM
+    (blocks of query vectors combined by maximum)."""
+    parts = [_score_block_native(db, qb, threshold=threshold, id_col=id_col, vec_col=vec_col,
+                                 set_col=set_col, dim=dim)
+             for qb in query_blocks(queries, set_col, max_vectors)]
+    return _combine_blocks(parts, id_col, set_col)
+
+
+def _score_block_native(db: DataFrame, queries: DataFrame, *, threshold: float, id_col: str,
+                        vec_col: str, set_col: str, dim: int | None) -> DataFrame:
+    packed = packed_query_sets(queries, set_col, vec_col, checked=True)
     e = F.col(vec_col).cast("array<double>")
     if dim is not None:
         e = F.when(F.size(e) == dim, e).otherwise(F.raise_error(F.lit(f"embedding size must be {dim}")))

@@ -21,6 +21,7 @@ from vellum.operators.context import (assemble_context, budgeted_blocks, build_p
                                       document_block, user_messages)
 from vellum.operators.embed import (HASH_MODEL, HashEmbedder, attach_embeddings, embed,
                                     embed_batches, hash_embed, token_guard)
+from vellum.operators.joins import join_small
 from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
                                        echo_responder, generate, request_configs)
 from vellum.operators.retrieve import (packed_query_sets, rank_top_k, render, score_sets,
@@ -309,18 +310,21 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
         _with("question_src AS (SELECT item_id, text FROM benchmark)", S.hashed_ctes("hq", "question_src", "text"))
         + f" SELECT item_id, {S.vec_text('embedding')} AS embedding FROM hq")
 
-    # P10 + J1: dot products of every stored vector with every question vector
+    # P10: dot product of two vector columns, row by row: each page's title
+    # vector against its body vector (the query-side product J1 runs inside
+    # score_sets, reduced in the task and never materialised as pairs)
     def similarity_scores(sp, sf):
-        packed = packed_query_sets(questions(sp, sf))  # size-checked scalar subquery
-        db = label_db(sp, sf).select("vec_id", "embedding", packed.alias("_qs"))
-        pairs = db.select("vec_id", F.explode(F.transform("_qs", lambda g: F.struct(
-            g["s"].alias("item_id"), dot(F.col("embedding"), g["vs"][0]).alias("s")))).alias("p"))
-        return pairs.select("vec_id", F.col("p.item_id").alias("item_id"), F.round("p.s", 6).alias("similarity"))
+        pages = load_html(files(sp, sf))
+        return pages.select(
+            "path",
+            F.round(dot(hash_vector(F.col("metadata.title")), hash_vector("page_content")), 6).alias("similarity"))
     R["similarity_scores"] = (
         similarity_scores,
-        _with(S.QUESTIONS, "vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)")
-        + f" SELECT v.vec_id, q.query_set_id AS item_id, round({S.dot('v.e', 'q.embedding')}, 6) AS similarity"
-          " FROM vecs v, questions q")
+        _with(S.PAGE_FILES, S.HTML_DOCS,
+              "titles AS (SELECT path, meta_title AS t FROM html_docs)", S.hashed_ctes("tv", "titles", "t"),
+              "bodies AS (SELECT path, page_content AS t FROM html_docs)", S.hashed_ctes("bv", "bodies", "t"))
+        + f" SELECT tv.path, round({S.dot('tv.embedding', 'bv.embedding')}, 6) AS similarity"
+          " FROM tv JOIN bv ON tv.path = bv.path")
 
     # P11 true cosine against the (non-unit) centroid of each vector's label
     def cosine_scores(sp, sf):
@@ -329,7 +333,7 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
         cent = (dims.groupBy("label", "i").agg(F.avg("x").alias("m"))
                 .groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))),
                                                   lambda t: t["m"]).alias("centroid")))
-        return (db.join(cent, "label")
+        return (join_small(db, cent, "label")
                 .select("vec_id", "label", F.round(cosine("embedding", "centroid"), 6).alias("cosine")))
     R["cosine_scores"] = (
         cosine_scores,
