@@ -233,11 +233,28 @@ def top_k_single(scores: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     return top
 
 
+MAX_PUSHED_IDS = 20_000
+
+
 def late_materialise(top: DataFrame, db: DataFrame, id_col: str = "id",
-                     cols: tuple[str, ...] = ("content", "metadata")) -> DataFrame:
-    """Fetch content and metadata for the winners only (broadcast of the
-    k x sets winners; the store side is read column-pruned)."""
-    return db.select(id_col, *cols).join(F.broadcast(top), id_col, "inner")
+                     cols: tuple[str, ...] = ("content", "metadata"),
+                     max_rows: int | None = None, push_ids: bool = True) -> DataFrame:
+    """Fetch content and metadata for the winners only.
+
+    ``top`` is bounded by k x sets (``max_rows`` when the caller knows it).
+    The winners are checkpointed (one scoring pass), and when there are few
+    of them their ids are pushed into the store scan as an ``IN`` filter
+    (row groups are skipped by statistics / bloom filter); the store side
+    is read column-pruned and joined to the broadcast winners.
+    """
+    from vellum.operators.joins import MAX_BROADCAST_ROWS  # noqa: PLC0415
+    store = db.select(id_col, *cols)
+    bounded = max_rows is not None and max_rows <= MAX_BROADCAST_ROWS
+    if push_ids and bounded and max_rows <= MAX_PUSHED_IDS:
+        top = top.checkpoint(eager=True)
+        ids = [r[0] for r in top.select(id_col).distinct().collect()]
+        store = store.where(F.col(id_col).isin(ids)) if ids else store.limit(0)
+    return store.join(F.broadcast(top) if bounded else top, id_col, "inner")
 
 
 def result_columns(df: DataFrame, embedding_model: str) -> DataFrame:

@@ -39,7 +39,8 @@ def retrieve(db: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
     else:
         raise ValueError(f"unknown engine {engine!r}")
     top = rank_top_k(scores, k)
-    full = late_materialise(top, db)
+    n_sets = queries.select("query_set_id").distinct().count()   # small side
+    full = late_materialise(top, db, max_rows=k * n_sets)
     return result_columns(full, embedding_model).select(
         "query_set_id", "rank", "id", "score", "similarity", "content", "metadata",
         "similarity_function", "embedding_model")

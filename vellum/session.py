@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # push IN lists of winner ids to Parquet as IN (bloom filter / stats),
+    # not as a min..max range
+    "spark.sql.parquet.pushdown.inFilterThreshold": "20000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
