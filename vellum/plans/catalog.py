@@ -459,6 +459,21 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS r
         scan,
         _with(S.store_ctes()) + " SELECT id, subject, content, " + ", ".join(META) + " FROM store WHERE subject = 'en'")
 
+    # Structured Streaming: documents as a file stream, built per micro-batch
+    def streaming_build(sp, sf):
+        from vellum.streaming.ingest import table_stream_build  # noqa: PLC0415
+        path = shared_path(sp, "stream_store", unique=True)
+        q = table_stream_build(sp, sf, path)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        return read_store(sp, path).select("id", "subject", "chunk_index", "tokens", "content",
+                                           vec_text("embedding").alias("embedding"))
+    R["streaming_build"] = (
+        streaming_build,
+        _with(S.doc_chunks_ctes(), S.hashed_ctes("dstore", "doc_chunks", "content"))
+        + f" SELECT id, subject, chunk_index, tokens, content, {S.vec_text('embedding')} AS embedding FROM dstore")
+
     # J2 + F1: user embedder through mapInPandas, paired back by id
     def embedded_by_user(sp, sf):
         ch = corpus_chunks(sp, sf)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vellum.plans.build import build_database
-from vellum.session import shared_path
+from vellum.session import shared_path, table_path
 from vellum.sources.corpus import file_format
 from vellum.sources.store import STORE_COLUMNS
 
@@ -52,3 +52,31 @@ def start_ingest(spark: SparkSession, root: str, subject: str, store_path: str,
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def table_stream_build(spark: SparkSession, sf_dir: str, store_path: str,
+                       checkpoint_location: str | None = None, files_per_trigger: int = 1,
+                       **build_kw) -> StreamingQuery:
+    """The ``documents`` table read as a file stream (txt corpus rows) and
+    built into the store micro-batch by micro-batch (idempotent epochs)."""
+    ckpt = checkpoint_location or shared_path(spark, "streams", "documents", unique=True)
+    schema = spark.read.parquet(table_path(sf_dir, "documents")).schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+              .option("pathGlobFilter", "documents.parquet")
+              .parquet(sf_dir))
+    files = stream.select(
+        F.col("lang").alias("subject"),
+        F.format_string("corpus/%s/doc-%d.txt", F.col("lang"), F.col("doc_id")).alias("path"),
+        F.lit("txt").alias("format"), F.col("text").alias("content"))
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        rows = build_database(batch, include_pdf=False, **build_kw)
+        (rows.select(*STORE_COLUMNS, "subject", F.lit(int(epoch_id)).alias("ingest_epoch"))
+         .write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .option("compression", "gzip")
+         .partitionBy("subject", "ingest_epoch")
+         .parquet(store_path))
+
+    return (files.writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
