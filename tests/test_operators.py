@@ -139,3 +139,24 @@ def test_request_admission(spark):
     assert got == [True, False, False]
     prov = spark.createDataFrame([("OpenAI",), ("huggingface",)], "p string")
     assert [r.ok for r in prov.select(embedding_provider_ok("p").alias("ok")).collect()] == [True, False]
+
+
+def test_embed_text_returns_vector(spark):
+    from vellum.operators.embed import HashEmbedder, embed_text
+    v = embed_text(spark, lambda: HashEmbedder(64), "When is Albert Einstein's birthday?")
+    assert len(v) == 64 and abs(sum(x * x for x in v) - 1.0) < 1e-9
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=90_000), min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=7))
+def test_global_batches_match_array_split(spark, tokens, parts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)], "id int, tokens int").repartition(parts)
+    rows = sorted(embed_batches(df, ["id"], checkpoint=False).collect(), key=lambda r: r.id)
+    k = max(sum(tokens) // 100_000, 1)
+    expected = np.concatenate([np.full(len(b), j) for j, b in enumerate(np.array_split(np.arange(len(tokens)), k))])
+    assert [r.batch for r in rows] == expected.tolist()

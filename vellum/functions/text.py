@@ -30,6 +30,8 @@ PY_SPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 STRIP_PATTERN = f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$"
+# Runs of non-white-space characters: the pieces of Python's ``str.split()``.
+NON_SPACE_RUN = "[^" + PY_SPACE_CLASS[1:-1] + "]+"
 
 # Stand-in tokenizer for ``count_tokens``: runs of letters/digits, or any
 # other single non-space character.

@@ -208,6 +208,14 @@ def embed(df: DataFrame, embedder_factory: Callable[[], Embedder], key_cols: Seq
     return df.select(*cols).mapInPandas(run, schema)
 
 
+def embed_text(spark, embedder_factory: Callable[[], Embedder], text: str,
+               dim: int = DEFAULT_DIM) -> list[float]:
+    """One text's vector (the vector itself, not a list of vectors)."""
+    one = spark.createDataFrame([(0, text)], "k int, content string")
+    row = embed(one, embedder_factory, ["k"], "content", None, dim=dim).first()
+    return list(row.embedding)
+
+
 def attach_embeddings(chunks: DataFrame, vectors: DataFrame, key: str = "id") -> DataFrame:
     """1:1 join of chunks and vectors by key (inner).  Use ``check_one_to_one``
     to assert that no chunk lost its vector."""

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.functions.text import normalise_whitespace, stable_id, token_count
+from vellum.functions.text import NON_SPACE_RUN, normalise_whitespace, stable_id, token_count
 from vellum.functions.vectors import as_double_vector, cosine, dot, hash_vector
 from vellum.operators.chunker import split_documents
 from vellum.operators.context import (assemble_context, budgeted_blocks, build_prompt,
@@ -513,7 +513,8 @@ FROM corpus_chunks GROUP BY ROLLUP (subject)""")
         _with(S.corpus_chunks_ctes()) + """ SELECT subject, format, count(DISTINCT path) AS documents, count(*) AS chunks
 FROM corpus_chunks GROUP BY subject, format""")
 
-    # F3 batch generation with the offline responder (rows check only)
+    # F3 batch generation with the offline responder (it answers "I don't
+    # know." and counts str.split() words of the messages as prompt tokens)
     R["generate_batch"] = (
         lambda sp, sf: generate(
             prompts(sp, sf).select("query_set_id", F.lit("gpt-4o").alias("model"),
@@ -521,7 +522,9 @@ FROM corpus_chunks GROUP BY subject, format""")
                                    F.lit(2048).alias("max_tokens"), "messages"),
             echo_responder, ["query_set_id"]).select("query_set_id", "model", "response", "prompt_tokens",
                                                      "completion_tokens", "error"),
-        None)
+        ctx_sql + f""" SELECT query_set_id, 'gpt-4o' AS model, 'I don''t know.' AS response,
+       CAST(len(regexp_extract_all(prompt, {S.q(NON_SPACE_RUN)})) AS BIGINT) AS prompt_tokens,
+       CAST(3 AS BIGINT) AS completion_tokens, CAST(NULL AS VARCHAR) AS error FROM prompts""")
 
     # P18/J5 admission, A7 configurations, S10 ledger, A3 per model, J4/A4 cost
     R["request_admission"] = (
