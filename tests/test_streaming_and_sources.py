@@ -72,3 +72,22 @@ def test_streaming_ingest_is_incremental(spark):
     batch = build_database(scan_corpus(spark, root, "test")).count()
     assert after.count() == batch > first
     assert after.select("id").distinct().count() == batch
+
+
+def test_reference_style_facade(spark):
+    from vellum.api import DatabaseBuilder, Generator, Retriever
+    from vellum.operators.generate import echo_responder
+    root = make_corpus()
+    store = tempfile.mkdtemp(prefix="vellum-api-")
+    DatabaseBuilder(spark, "test", chunk_size=64, overlap_size=8, store_path=store).build_database(root)
+    docs, tokens = Retriever(spark, "test", store_path=store).retrieve(
+        ["When was Albert Einstein born?", "Einstein birthday"], top_k=3, threshold=0.1)
+    rows = docs.orderBy("rank").collect()
+    assert tokens > 0 and 1 <= len(rows) <= 3
+    assert "Einstein" in rows[0].content
+    out = Generator(echo_responder, "AzureOpenAI", "gpt-4o").generate_response("When was Einstein born?", docs)
+    assert out.first().response == "I don't know."
+    with pytest.raises(ValueError):
+        Generator(echo_responder, "HuggingFace", "not-a-model").generate_response("q", docs).collect()
+    with pytest.raises(FileNotFoundError):
+        Retriever(spark, "other", store_path=store)
