@@ -91,3 +91,14 @@ def test_reference_style_facade(spark):
         Generator(echo_responder, "HuggingFace", "not-a-model").generate_response("q", docs).collect()
     with pytest.raises(FileNotFoundError):
         Retriever(spark, "other", store_path=store)
+
+
+def test_build_metrics_and_model_check(spark):
+    from vellum.api import DatabaseBuilder, Retriever
+    root = make_corpus()
+    store = tempfile.mkdtemp(prefix="vellum-obs-")
+    counts = DatabaseBuilder(spark, "test", chunk_size=64, overlap_size=8, store_path=store).build_database(root)
+    assert counts["chunks"] == read_store(spark, store, subject="test").count()
+    assert counts["documents"] == 4 and counts["total_tokens"] > 0
+    with pytest.raises(ValueError, match="built with"):
+        Retriever(spark, "test", store_path=store, model="another-model")

@@ -24,12 +24,12 @@ from vellum.operators.embed import HASH_MODEL, embed
 from vellum.operators.generate import (DEFAULT_MAX_TOKENS, DEFAULT_TEMPERATURE, admit_requests,
                                        allow_list, generate)
 from vellum.operators.retrieve import DEFAULT_THRESHOLD, DEFAULT_TOP_K
-from vellum.plans.build import build_database
+from vellum.plans.build import build_and_write, build_database
 from vellum.functions.vectors import hash_vector
 from vellum.plans.retrieval import retrieval_prompts, retrieve
 from vellum.session import shared_path
 from vellum.sources.corpus import scan_corpus
-from vellum.sources.store import read_store, write_store
+from vellum.sources.store import read_store
 
 
 def default_store(spark: SparkSession) -> str:
@@ -48,17 +48,29 @@ class DatabaseBuilder:
         files = scan_corpus(self.spark, root_folder_path, self.subject)
         return build_database(files, self.chunk_size, self.overlap_size, self.min_text_length, mode=self.mode)
 
-    def build_database(self, root_folder_path: str) -> None:
-        """Replace this subject's partition of the store."""
-        write_store(self.rows(root_folder_path), self.store_path)
+    def build_database(self, root_folder_path: str) -> dict:
+        """Replace this subject's partition of the store; returns the
+        observed counts (chunks, total_tokens, documents)."""
+        files = scan_corpus(self.spark, root_folder_path, self.subject)
+        return build_and_write(files, self.store_path, chunk_size=self.chunk_size,
+                               overlap_size=self.overlap_size, min_text_length=self.min_text_length,
+                               mode=self.mode)
 
 
 class Retriever:
     def __init__(self, spark: SparkSession, subject: str, store_path: str | None = None,
-                 embedder_factory: Callable | None = None, model: str = HASH_MODEL, dim: int = 64):
+                 embedder_factory: Callable | None = None, model: str = HASH_MODEL, dim: int = 64,
+                 check_model: bool = True):
         self.spark, self.subject, self.model, self.dim = spark, subject, model, dim
         self.embedder_factory = embedder_factory
         self.store = read_store(spark, store_path or default_store(spark), subject=subject)
+        if check_model:
+            # a store built with another embedding model would give silent
+            # wrong answers: refuse it (reads one small dictionary column)
+            other = (self.store.select("embedding_model").where(F.col("embedding_model") != F.lit(model))
+                     .limit(1).collect())
+            if other:
+                raise ValueError(f"store for {subject!r} was built with {other[0][0]!r}, not {model!r}")
 
     def _queries(self, user_queries: list[str]) -> DataFrame:
         qs = self.spark.createDataFrame([(0, i, t) for i, t in enumerate(user_queries)],

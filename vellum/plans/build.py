@@ -6,7 +6,7 @@ minimum length -> token count -> token guard -> embed -> rows -> Parquet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions.text import normalise_whitespace, stable_id, token_count
@@ -25,13 +25,16 @@ def normalised_documents(files: DataFrame, mode: str = "strict",
 
 
 def chunk_corpus(docs: DataFrame, chunk_size: int = 512, overlap_size: int = 64,
-                 min_text_length: int = 0) -> DataFrame:
-    """Chunks with ``id``, ``tokens`` and the parent document columns."""
+                 min_text_length: int = 0, random_ids: bool = False) -> DataFrame:
+    """Chunks with ``id``, ``tokens`` and the parent document columns.
+
+    Ids are a hash of (subject, path, page, chunk index), stable under task
+    retry; ``random_ids`` gives random UUIDs instead (not retry-stable).
+    """
     check_chunk_params(chunk_size, overlap_size)
     chunks = split_documents(docs, "page_content", chunk_size, overlap_size, min_text_length)
-    return (chunks
-            .withColumn("id", stable_id("subject", "path", "page", "chunk_index"))
-            .withColumn("tokens", token_count("content")))
+    ids = F.expr("uuid()") if random_ids else stable_id("subject", "path", "page", "chunk_index")
+    return chunks.withColumn("id", ids).withColumn("tokens", token_count("content"))
 
 
 def store_rows(chunks: DataFrame, model: str = HASH_MODEL, dim: int = 64,
@@ -52,8 +55,20 @@ def build_database(files: DataFrame, chunk_size: int = 512, overlap_size: int =
     return store_rows(chunks, model, dim, guard=mode)
 
 
-def build_and_write(files: DataFrame, store_path: str, **kw) -> None:
-    write_store(build_database(files, **kw), store_path)
+def build_and_write(files: DataFrame, store_path: str, chunk_size: int = 512, overlap_size: int = 64,
+                    min_text_length: int = 0, model: str = HASH_MODEL, dim: int = 64,
+                    mode: str = "strict", include_pdf: bool = True) -> dict:
+    """Write the store and return the build counts (documents, chunks,
+    total tokens) observed during the same pass -- no second scan."""
+    check_chunk_params(chunk_size, overlap_size)
+    docs_seen, rows_seen = Observation("documents"), Observation("chunks")
+    docs = normalised_documents(files, mode, include_pdf=include_pdf).observe(
+        docs_seen, F.count(F.lit(1)).alias("documents"))
+    chunks = chunk_corpus(docs, chunk_size, overlap_size, min_text_length)
+    rows = store_rows(chunks, model, dim, guard=mode).observe(
+        rows_seen, F.count(F.lit(1)).alias("chunks"), F.sum("tokens").alias("total_tokens"))
+    write_store(rows, store_path)
+    return {**docs_seen.get, **rows_seen.get}
 
 
 def table_corpus_rows(spark: SparkSession, sf_dir: str, include_pages: bool = True, **kw) -> DataFrame:
