@@ -52,14 +52,15 @@ def l2_normalise(v) -> Column:
 
 
 def hash_codes(text, dim: int = DEFAULT_DIM) -> Column:
-    """Per word: bucket, plus ``dim`` when the sign is negative."""
+    """Per word: bucket, plus ``dim`` when the sign is negative.
 
-    def code(h: Column) -> Column:
-        bucket = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(dim))
-        negative = F.conv(F.substring(h, 9, 1), 16, 10).cast("int") >= 8
-        return (bucket + F.when(negative, F.lit(dim)).otherwise(F.lit(0))).cast("int")
-
-    return F.transform(words(text), lambda w: let(F.md5(w), code))
+    The digests are computed in one pass over the words; the sign test
+    compares the 9th hex digit as a character ("8".."f" are >= "8").
+    """
+    digests = F.transform(words(text), lambda w: F.md5(w))
+    return F.transform(digests, lambda h: (
+        F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+        + F.when(F.substring(h, 9, 1) >= F.lit("8"), F.lit(dim)).otherwise(F.lit(0))).cast("int"))
 
 
 def hash_vector(text, dim: int = DEFAULT_DIM) -> Column:
