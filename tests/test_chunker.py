@@ -1,7 +1,6 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import SF0001
 from splitter_oracle import split_text

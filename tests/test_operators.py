@@ -2,7 +2,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from vellum.functions.html import html_text, html_title

@@ -17,15 +17,14 @@ from pyspark.sql import functions as F
 from vellum.functions.text import NON_SPACE_RUN, normalise_whitespace, stable_id, token_count
 from vellum.functions.vectors import as_double_vector, cosine, dot, hash_vector
 from vellum.operators.chunker import split_documents
-from vellum.operators.context import (assemble_context, budgeted_blocks, build_prompt,
-                                      document_block, user_messages)
+from vellum.operators.context import assemble_context, budgeted_blocks, document_block
 from vellum.operators.embed import (HASH_MODEL, HashEmbedder, attach_embeddings, embed,
                                     embed_batches, hash_embed, token_guard)
 from vellum.operators.joins import join_small
 from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
                                        echo_responder, generate, request_configs)
-from vellum.operators.retrieve import (packed_query_sets, rank_top_k, render, score_sets,
-                                       score_sets_native, top_k_single)
+from vellum.operators.retrieve import (rank_top_k, render, score_sets, score_sets_native,
+                                       top_k_single)
 from vellum.operators.usage import append_usage, cost_rates, read_usage, usage_by_model, usage_cost
 from vellum.plans import sql as S
 from vellum.plans.build import chunk_corpus, store_rows
@@ -41,7 +40,7 @@ K, THRESHOLD, BUDGET = 5, 0.15, 2048
 META = ["meta_source", "meta_title", "meta_path", "meta_page"]
 
 
-def _meta(df: DataFrame) -> list[Column]:
+def _meta() -> list[Column]:
     return [F.col("metadata.source").alias("meta_source"), F.col("metadata.title").alias("meta_title"),
             F.col("metadata.path").alias("meta_path"), F.col("metadata.page").alias("meta_page")]
 
@@ -219,7 +218,7 @@ SELECT subject, printf('corpus/%s/page-%d.html', subject, page_id) AS path, 'htm
 
     # S3 txt loader
     R["load_text"] = (
-        lambda sp, sf: txt_docs(sp, sf).select("doc_id", "subject", "path", "page_content", *_meta(None)),
+        lambda sp, sf: txt_docs(sp, sf).select("doc_id", "subject", "path", "page_content", *_meta()),
         _with(S.TXT_DOCS) + " SELECT doc_id, subject, path, page_content, " + ", ".join(META) + " FROM txt_docs")
 
     # S4 html loader: text and title
@@ -248,7 +247,7 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
 
     # S6 union of loaders
     R["load_corpus"] = (
-        lambda sp, sf: corpus_docs(sp, sf).select("subject", "path", "format", "page_content", *_meta(None)),
+        lambda sp, sf: corpus_docs(sp, sf).select("subject", "path", "format", "page_content", *_meta()),
         _with(S.TXT_DOCS, S.PAGE_FILES, S.HTML_DOCS, S.CORPUS_DOCS)
         + " SELECT subject, path, format, page_content, " + ", ".join(META) + " FROM corpus_docs")
 
@@ -267,7 +266,7 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
 
     # P3 chunk fan-out keeps metadata (whole corpus)
     R["chunk_with_metadata"] = (
-        lambda sp, sf: corpus_chunks(sp, sf).select("subject", "path", "chunk_index", "content", *_meta(None)),
+        lambda sp, sf: corpus_chunks(sp, sf).select("subject", "path", "chunk_index", "content", *_meta()),
         _with(S.corpus_chunks_ctes()) + " SELECT subject, path, chunk_index, content, "
         + ", ".join(META) + " FROM corpus_chunks")
 
@@ -301,7 +300,7 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
     # P9 + F1b: store rows (assembled, hash-embedded), and the embedder alone on questions
     R["embedded_chunks"] = (
         lambda sp, sf: store(sp, sf).select("id", "subject", "chunk_index", "content", "tokens", "embedding_model",
-                                            *_meta(None), vec_text("embedding").alias("embedding")),
+                                            *_meta(), vec_text("embedding").alias("embedding")),
         _with(S.store_ctes()) + " SELECT id, subject, chunk_index, content, tokens, 'feature-hash-64' AS embedding_model, "
         + ", ".join(META) + f", {S.vec_text('embedding')} AS embedding FROM store")
     R["hash_embed"] = (
@@ -404,7 +403,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS r
     result_cols = ["query_set_id", "rank", "id", "similarity", "content", *META,
                    "similarity_function", "embedding_model"]
     R["retrieve_text_queries"] = (
-        lambda sp, sf: text_results(sp, sf).select(*[c for c in result_cols if c not in META] + _meta(None)),
+        lambda sp, sf: text_results(sp, sf).select(*[c for c in result_cols if c not in META] + _meta()),
         _with(S.text_topk_ctes(K, THRESHOLD)) + " SELECT " + ", ".join(result_cols) + " FROM text_results")
 
     # J3 late materialisation: winners first, then content by id
@@ -439,7 +438,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS r
     # C1 the build (store rows), S7 write + read back, S8 one subject from the store
     build_sql_cols = "id, subject, path, chunk_index, tokens, content, " + ", ".join(META)
     R["build_database"] = (
-        lambda sp, sf: store(sp, sf).select("id", "subject", "path", "chunk_index", "tokens", "content", *_meta(None),
+        lambda sp, sf: store(sp, sf).select("id", "subject", "path", "chunk_index", "tokens", "content", *_meta(),
                                             vec_text("embedding").alias("embedding")),
         _with(S.store_ctes()) + f" SELECT {build_sql_cols}, {S.vec_text('embedding')} AS embedding FROM store")
 
@@ -454,7 +453,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS r
         path = shared_path(sp, "store", unique=True)
         write_store(store(sp, sf), path)
         return read_store(sp, path, subject="en", columns=["id", "content", "metadata", "subject"]).select(
-            "id", "subject", "content", *_meta(None))
+            "id", "subject", "content", *_meta())
     R["vector_db_scan"] = (
         scan,
         _with(S.store_ctes()) + " SELECT id, subject, content, " + ", ".join(META) + " FROM store WHERE subject = 'en'")
