@@ -92,3 +92,20 @@ def test_blocked_query_side_is_exact(spark):
     b = score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64, max_vectors=60)
     key = ["query_set_id", "vec_id", "score"]
     assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())
+
+
+def test_scoring_never_shuffles_the_store(spark):
+    emb, qs = slice_inputs(spark)
+    scores = score_sets(emb, qs, k=5, threshold=0.15, id_col="vec_id", dim=64)
+    plan = plan_of(scores)
+    assert "MapInArrow" in plan and "Exchange" not in plan and "NestedLoopJoin" not in plan
+    native = plan_of(score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64))
+    assert "Join" not in native and "BatchEvalPython" not in native
+
+
+def test_chunking_stays_in_the_jvm(spark):
+    q = catalog.queries()["chunk_512_64"](spark, SF0001)
+    plan = plan_of(q)
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
+    # the only exchange is the spread of a small input over the cores
+    assert plan.count("Exchange") <= 1
