@@ -186,8 +186,8 @@ CONTEXT_SQL = f"""
 blocks AS (SELECT query_set_id, rank, {BLOCK_SQL} AS block FROM text_results),
 kept AS (
   SELECT * FROM (SELECT query_set_id, rank, block,
-                        sum(length(block)) OVER (PARTITION BY query_set_id ORDER BY rank
-                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_length
+                        CAST(sum(length(block)) OVER (PARTITION BY query_set_id ORDER BY rank
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_length
                  FROM blocks) WHERE running_length <= {BUDGET}),
 contexts AS (SELECT query_set_id, string_agg(block, '' ORDER BY rank) AS context FROM kept GROUP BY query_set_id),
 prompts AS (
@@ -360,13 +360,13 @@ FROM vecs v JOIN cent c ON v.label = c.label""")
             "rank", F.row_number().over(Window.partitionBy("query_set_id").orderBy(
                 F.col("similarity").desc(), F.col("vec_id")))).select("query_set_id", "rank", "vec_id", "similarity"),
         _with(S.label_scores_cte(THRESHOLD)) + """ SELECT query_set_id,
-  row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, vec_id) AS rank,
+  CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, vec_id) AS INTEGER) AS rank,
   vec_id, round(score, 6) AS similarity FROM label_scores""")
 
     # T3 top-k per label set (BLAS engine)
     label_topk_sql = _with(S.label_scores_cte(THRESHOLD)) + """,
 ranked AS (SELECT query_set_id, vec_id, score, round(score, 6) AS similarity,
-  row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, vec_id) AS rank FROM label_scores)
+  CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, vec_id) AS INTEGER) AS rank FROM label_scores)
 """
     R["retrieve_topk_batch"] = (
         lambda sp, sf: rank_top_k(score_sets(label_db(sp, sf), label_queries(sp, sf), k=K, threshold=THRESHOLD,
@@ -393,7 +393,7 @@ ranked AS (SELECT query_set_id, vec_id, score, round(score, 6) AS similarity,
         retrieve_topk,
         _with(S.store_ctes(), S.QUESTIONS) + f""",
 best AS (SELECT s.id, max({S.dot('s.embedding', 'q.embedding')}) AS score FROM store s, questions q GROUP BY s.id)
-SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS rank, id, round(score, 6) AS similarity
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, 6) DESC, id) AS INTEGER) AS rank, id, round(score, 6) AS similarity
                FROM best WHERE NOT isnan(score) AND score >= {THRESHOLD}) WHERE rank <= {K}""")
 
     # C2: questions embedded, and answered against the whole store
@@ -419,7 +419,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS r
     R["budgeted_context"] = (
         lambda sp, sf: budgeted_blocks(blocks(sp, sf), BUDGET).select(
             "query_set_id", "rank", F.length("block").alias("block_length"), "running_length"),
-        ctx_sql + " SELECT query_set_id, rank, length(block) AS block_length, running_length FROM kept")
+        ctx_sql + " SELECT query_set_id, rank, CAST(length(block) AS INTEGER) AS block_length, running_length FROM kept")
     R["assemble_context"] = (
         lambda sp, sf: assemble_context(budgeted_blocks(blocks(sp, sf), BUDGET)),
         ctx_sql + " SELECT query_set_id, context FROM contexts")
@@ -430,7 +430,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(score, 6) DESC, id) AS r
                          ctx_sql + " SELECT query_set_id, prompt FROM prompts")
     R["build_messages"] = (
         lambda sp, sf: prompts(sp, sf).select("query_set_id", F.to_json("messages").alias("messages")),
-        ctx_sql + " SELECT query_set_id, to_json([{'role': 'user', 'content': prompt}]) AS messages FROM prompts")
+        ctx_sql + " SELECT query_set_id, CAST(to_json([{'role': 'user', 'content': prompt}]) AS VARCHAR) AS messages FROM prompts")
     R["retrieval_prompts"] = (
         lambda sp, sf: prompts(sp, sf).select("query_set_id", "question", "context", "prompt"),
         ctx_sql + " SELECT query_set_id, question, context, prompt FROM prompts")

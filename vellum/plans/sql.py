@@ -234,7 +234,7 @@ text_scores AS (
 text_top AS (
   SELECT * FROM (
     SELECT query_set_id, id, score, round(score, 6) AS similarity,
-           row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, id) AS rank
+           CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, id) AS INTEGER) AS rank
     FROM text_scores WHERE NOT isnan(score) AND score >= {threshold})
   WHERE rank <= {k}),
 text_results AS (
@@ -248,7 +248,7 @@ def label_scores_cte(threshold: float | None) -> str:
     return f"""
 vecs AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 label_pairs AS (
-  SELECT d.vec_id, q.label AS query_set_id, {dot("d.e", "q.e")} AS s
+  SELECT d.vec_id, CAST(q.label AS BIGINT) AS query_set_id, {dot("d.e", "q.e")} AS s
   FROM vecs d, vecs q),
 label_scores AS (
   SELECT * FROM (SELECT vec_id, query_set_id, max(s) AS score FROM label_pairs GROUP BY vec_id, query_set_id){cond})"""
