@@ -20,6 +20,9 @@ import duckdb  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 from vellum.session import get_spark  # noqa: E402
 
+DUCK_TYPES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double",
+              "BOOLEAN": "boolean", "FLOAT": "float"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -60,6 +63,7 @@ def main():
         try:
             df = fn(spark, sf)
             cols = df.columns
+            stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
             srows = [tuple(r) for r in df.collect()]
         except Exception as exc:  # noqa: BLE001
             print(f"{name:24s} SPARK ERROR {str(exc)[:300]}")
@@ -79,6 +83,11 @@ def main():
             bad += 1
             continue
         td = time.time() - t0
+        dtypes = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(dcols, rel.types)}
+        type_diff = {c: (stypes.get(c), dtypes.get(c)) for c in dtypes if stypes.get(c) != dtypes.get(c)}
+        if type_diff:
+            print(f"{name:24s} TYPES DIFF {type_diff}")
+            bad += 1
         same_cols = sorted(cols) == sorted(dcols)
         eq = same_cols and canon(srows, cols) == canon(drows, dcols)
         if not eq:
