@@ -8,6 +8,8 @@ once the fact rows are keyed and de-duplicated.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +35,15 @@ USAGE_SCHEMA = T.StructType([
 ])
 
 
+RATE_TYPE = "decimal(12,9)"
+
+
 def cost_rates(spark: SparkSession) -> DataFrame:
-    """Per-token rates, a 3-row dimension."""
+    """Per-token rates, a 3-row dimension, exact decimals (money is summed
+    exactly and rounded once)."""
     return spark.createDataFrame(
-        [(m, p / 1000.0, c / 1000.0) for m, p, c in COST_PER_1K],
-        "model string, prompt_rate double, completion_rate double")
+        [(m, Decimal(str(p)) / 1000, Decimal(str(c)) / 1000) for m, p, c in COST_PER_1K],
+        f"model string, prompt_rate {RATE_TYPE}, completion_rate {RATE_TYPE}")
 
 
 def usage_by_model(usage: DataFrame) -> DataFrame:
@@ -54,14 +60,15 @@ def usage_cost(usage: DataFrame, rates: DataFrame) -> DataFrame:
     is broadcast.
     """
     per_model = usage_by_model(usage)
+    zero = F.lit(Decimal(0)).cast(RATE_TYPE)
     priced = (per_model.join(F.broadcast(rates), "model", "left")
               .withColumn("cost",
-                          F.col("prompt_tokens") * F.coalesce("prompt_rate", F.lit(0.0))
-                          + F.col("completion_tokens") * F.coalesce("completion_rate", F.lit(0.0))))
+                          F.col("prompt_tokens") * F.coalesce("prompt_rate", zero)
+                          + F.col("completion_tokens") * F.coalesce("completion_rate", zero)))
     return (priced.rollup("model")
             .agg(F.sum("prompt_tokens").cast("bigint").alias("prompt_tokens"),
                  F.sum("completion_tokens").cast("bigint").alias("completion_tokens"),
-                 F.round(F.sum("cost"), 6).alias("cost")))
+                 F.round(F.sum("cost"), 6).cast("double").alias("cost")))
 
 
 def append_usage(usage: DataFrame, path: str) -> None:

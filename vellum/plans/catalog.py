@@ -169,8 +169,9 @@ usage AS (
   SELECT CAST(conv_id AS VARCHAR) AS request_id, model, prompt_tokens, completion_tokens
   FROM admission WHERE error IS NULL),
 rates(model, prompt_rate, completion_rate) AS (
-  VALUES ('gpt-4o', 0.0045 / 1000, 0.0135 / 1000), ('gpt-35-turbo', 0.0018 / 1000, 0.0018 / 1000),
-         ('gpt-35-turbo-16k', 0.0027 / 1000, 0.0036 / 1000))"""
+  VALUES ('gpt-4o', 0.0000045::DECIMAL(12,9), 0.0000135::DECIMAL(12,9)),
+         ('gpt-35-turbo', 0.0000018::DECIMAL(12,9), 0.0000018::DECIMAL(12,9)),
+         ('gpt-35-turbo-16k', 0.0000027::DECIMAL(12,9), 0.0000036::DECIMAL(12,9)))"""
 
 
 def _prompt_sql(context: str, question: str) -> str:
@@ -546,11 +547,13 @@ FROM corpus_chunks GROUP BY subject, format""")
     R["usage_cost"] = (
         lambda sp, sf: usage_cost(usage_facts(sp, sf), cost_rates(sp)),
         _with(REQUESTS_SQL) + """,
-per_model AS (SELECT model, sum(prompt_tokens) AS p, sum(completion_tokens) AS c FROM usage GROUP BY model),
-priced AS (SELECT m.model, m.p, m.c, m.p * coalesce(r.prompt_rate, 0) + m.c * coalesce(r.completion_rate, 0) AS cost
+per_model AS (SELECT model, CAST(sum(prompt_tokens) AS BIGINT) AS p, CAST(sum(completion_tokens) AS BIGINT) AS c
+              FROM usage GROUP BY model),
+priced AS (SELECT m.model, m.p, m.c,
+                  m.p * coalesce(r.prompt_rate, 0::DECIMAL(12,9)) + m.c * coalesce(r.completion_rate, 0::DECIMAL(12,9)) AS cost
            FROM per_model m LEFT JOIN rates r ON m.model = r.model)
 SELECT model, CAST(sum(p) AS BIGINT) AS prompt_tokens, CAST(sum(c) AS BIGINT) AS completion_tokens,
-       round(CAST(sum(cost) AS DOUBLE), 6) AS cost
+       CAST(round(sum(cost), 6) AS DOUBLE) AS cost
 FROM priced GROUP BY ROLLUP (model)""")
     return R
 
