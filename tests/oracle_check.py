@@ -48,7 +48,7 @@ def canon(rows, cols):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     con = duckdb.connect()
     for t in TABLES:
         p = os.path.join(sf, f"{t}.parquet")

@@ -132,12 +132,10 @@ def _fold(x: Column, n: Column, blocks: Column, size: int, overlap: int) -> Colu
                 .when(n - s <= size, tail)
                 .otherwise(let(_window(blocks, b), in_window)))
 
-    # At most one step per piece boundary is needed, but ordinary text needs
-    # about n / (size - overlap).  (1) The steps run as an outer fold over
-    # rounds of about sqrt(2 * bound) inner steps, so the inner state holds
-    # only its round's output and finished rounds are skipped; (2) a first
-    # pass uses a tight estimate and the full bound is used only if that pass
-    # did not finish.
+    # At most one step per piece boundary is needed.  The steps run as an
+    # outer fold over rounds of about sqrt(2 * bound) inner steps, so the
+    # inner state holds only its round's output and finished rounds are
+    # skipped cheaply.
     def run(bound: Column) -> Column:
         def with_sizes(cfg: Column) -> Column:
             def one_round(acc: Column, _j: Column) -> Column:
@@ -153,11 +151,7 @@ def _fold(x: Column, n: Column, blocks: Column, size: int, overlap: int) -> Colu
         return let(F.struct(per_round.alias("per_round"),
                             F.ceil(bound / per_round).cast("int").alias("rounds")), with_sizes)
 
-    def finish(full_bound: Column) -> Column:
-        estimate = F.least(full_bound, F.ceil(n / F.lit(st)).cast("int") * 2 + 4)
-        return let(run(estimate), lambda r: F.when(r["done"], r["out"]).otherwise(run(full_bound)["out"]))
-
-    out = let(n - F.length(F.regexp_replace(x, " ", "")) + 2, finish)
+    out = run(n - F.length(F.regexp_replace(x, " ", "")) + 2)["out"]
     return _parse_spans(out)
 
 

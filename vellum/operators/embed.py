@@ -47,14 +47,19 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "row
     """1-based row number over the total order of ``order_cols`` (unique key).
 
     Range-partition and sort, tag each row with (partition, position), count
-    rows per partition and add the broadcast prefix offsets.  Both branches
-    read the same exchange, so the numbering is consistent.  Adds ``_n``
+    rows per partition and add the broadcast prefix offsets (one row per
+    partition).  Adds ``_n``
     (total rows) and, with ``sum_col``, ``_total`` (its sum).
     """
     ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    # (partition, position) tags are materialised once: the counts and the
+    # numbering must see the same partitioning (AQE may coalesce two
+    # consumers of one shuffle differently), and a recomputed partition after
+    # an executor loss must not renumber rows.
     tagged = (ranged.withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+              .checkpoint(eager=True))
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     if sum_col:
         aggs.append(F.sum(sum_col).alias("_psum"))

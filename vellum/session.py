@@ -26,6 +26,11 @@ DEFAULT_CONF = {
     # not as a min..max range
     "spark.sql.parquet.pushdown.inFilterThreshold": "20000",
     "spark.ui.enabled": "false",
+    # deep expression trees (the chunker fold) need more than the default
+    # thread stack when tasks deserialise them; on a cluster set the same in
+    # spark.executor.extraJavaOptions
+    "spark.driver.extraJavaOptions": "-Xss16m",
+    "spark.executor.extraJavaOptions": "-Xss16m",
     "spark.ui.showConsoleProgress": "false",
 }
 
