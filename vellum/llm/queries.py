@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from vellum.llm import chat_format, token_counts
+from vellum.llm import chat_format, language_id, mixing, token_counts
 
 QUERIES = {
     "op2_token_counts": token_counts.op2_token_counts,
+    "op4_mixing": mixing.op4_mixing,
+    "op7_language_id": language_id.op7_language_id,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
 }
 
