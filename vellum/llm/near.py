@@ -165,12 +165,12 @@ def link_components(bands: DataFrame, sizes: DataFrame, sets_of: Callable[[DataF
                     star_filter: Callable[[DataFrame], DataFrame], similar: Callable | None) -> DataFrame:
     """``node, component`` over the texts that have links.
 
-    ``bands``: (key, band, id) with each id once per key; ``sizes``: (id, size[, sketch]);
+    ``bands``: (key, band, id), repeated rows allowed; ``sizes``: (id, size[, sketch]), one row per id;
     ``sets_of``: (id) -> (id, members: the sorted distinct 64-bit shingles);
     ``star_filter``: drops pairs (a, b) that cannot be similar enough.
     """
-    tops = bands.groupBy("key").agg(F.min("id").alias("top"), F.count("*").alias("n")).where("n > 1")
-    shared = materialise(bands.join(tops, "key"))
+    tops = bands.groupBy("key").agg(F.min("id").alias("top"), F.max("id").alias("_last")).where("top <> _last")
+    shared = materialise(bands.join(tops.select("key", "top"), "key").distinct())
     stars = shared.where("id <> top").select(F.col("top").alias("a"), F.col("id").alias("b")).distinct()
     stars = materialise(star_filter(stars))
     ids = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
@@ -180,12 +180,14 @@ def link_components(bands: DataFrame, sizes: DataFrame, sets_of: Callable[[DataF
                  .select("a", "b", "set_a", "set_b"))
     links = materialise(exact_links(with_sets, share))
     found = components(links)
-    # keys with two members are done; others may hold pairs that no star has compared
-    more = shared.where("n > 2").join(found, shared["id"] == found["node"], "left").select(
+    more = shared.join(found, shared["id"] == found["node"], "left").select(
         "key", "band", "id", F.coalesce("component", "id").alias("component"))
-    open_keys = more.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(
-        "_lo <> _hi").select("key")
+    # keys with two members are done; others may hold pairs that no star has compared
+    open_keys = more.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+                                        F.count("*").alias("_n")).where("_n > 2 and _lo <> _hi").select("key")
     members = materialise(more.join(open_keys, "key", "left_semi").join(sizes.select("id", "size"), "id"))
+    if members.isEmpty():
+        return found
     rows = blocks(members)
     if similar is not None:
         rows = candidates_in_units(rows.join(sizes.select("id", "sketch"), "id").select(

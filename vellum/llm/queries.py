@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from vellum.llm import chat_format, decontaminate, language_id, minhash, mixing, token_counts
+from vellum.llm import chat_format, decontaminate, language_id, minhash, mixing, paragraphs, token_counts
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op2_token_counts": token_counts.op2_token_counts,
     "op4_mixing": mixing.op4_mixing,
+    "op5_substring_dedup": paragraphs.op5_substring_dedup,
     "op6_minhash": minhash.op6_minhash,
     "op7_language_id": language_id.op7_language_id,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
