@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.llm import chat_format, decontaminate, language_id, minhash, mixing, paragraphs, token_counts
+from vellum.llm import chat_format, decontaminate, language_id, minhash, mixing, paragraphs, token_counts, toxicity
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_substring_dedup": paragraphs.op5_substring_dedup,
     "op6_minhash": minhash.op6_minhash,
     "op7_language_id": language_id.op7_language_id,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
 }
 
