@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vellum.llm import chat_format, decontaminate, language_id, minhash, mixing, paragraphs, token_counts, toxicity
+from vellum.llm import caps, chat_format, decontaminate, language_id, minhash, mixing, paragraphs, token_counts, toxicity
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_spherical_caps": caps.op3_spherical_caps,
     "op4_mixing": mixing.op4_mixing,
     "op5_substring_dedup": paragraphs.op5_substring_dedup,
     "op6_minhash": minhash.op6_minhash,
