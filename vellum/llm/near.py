@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 from vellum.llm.common import materialise
 from vellum.llm.graph import Forest, components
 
-BLOCK = 256                 # members of a block
-BLOCK_BYTES = 4 << 20       # or bytes of their sets
-ROWS = 512                  # rows of wide columns that Python gets at a time
+BLOCK = 1024                # members of a block
+BLOCK_BYTES = 16 << 20      # or bytes of their sets
 
 
 def u64(binary) -> np.ndarray:
