@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.llm import caps, chat_format, decontaminate, language_id, minhash, mixing, paragraphs, token_counts, toxicity
+from vellum.llm import caps, chat_format, decontaminate, language_id, minhash, mixing, paragraphs, repeats, token_counts, toxicity
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_language_id": language_id.op7_language_id,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
+    "op10_repeats": repeats.op10_repeats,
 }
 
 ORACLES = {
