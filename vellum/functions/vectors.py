@@ -78,5 +78,3 @@ def hash_vector(text, dim: int = DEFAULT_DIM) -> Column:
     return let(hash_codes(text, dim), lambda cs: l2_normalise(dense(cs)))
 
 
-def vector_size_ok(col, dim: int) -> Column:
-    return F.size(_c(col)) == F.lit(dim)

@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -42,6 +43,11 @@ def token_guard(df: DataFrame, tokens_col: str = "tokens", mode: str = "strict",
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def over_limit(df: DataFrame, tokens_col: str = "tokens", limit: int = MAX_CHUNK_TOKENS) -> DataFrame:
+    """What the guard's ``quarantine`` leaves out."""
+    return df.where(F.col(tokens_col) > F.lit(limit))
+
+
 def global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "row_number",
                       sum_col: str | None = None) -> DataFrame:
     """1-based row number over the total order of ``order_cols`` (unique key).
@@ -158,9 +164,11 @@ def _budget_batches(tokens: np.ndarray, budget: int) -> list[slice]:
 def embed(df: DataFrame, embedder_factory: Callable[[], Embedder], key_cols: Sequence[str],
           text_col: str = "content", tokens_col: str | None = "tokens",
           budget: int = TOKENS_PER_BATCH, dim: int = DEFAULT_DIM, max_attempts: int = 1,
-          mode: str = "strict") -> DataFrame:
+          mode: str = "strict", wait_seconds: float = 0.0) -> DataFrame:
     """Run a user batch embedder over ``df`` in Arrow batches.
 
+    ``key_cols`` are passed through (any columns: vectors never leave their
+    row).  Attempts are ``wait_seconds`` apart, slept in the worker.
     Output: key columns, ``embedding ARRAY<DOUBLE>``, ``embed_tokens`` (tokens
     the provider reported for the call, on the first row of each call) and
     ``error`` (NULL on success).  ``strict`` fails the task after the last
@@ -184,7 +192,9 @@ def embed(df: DataFrame, embedder_factory: Callable[[], Embedder], key_cols: Seq
             errs: list = [None] * len(pdf)
             for sl in _budget_batches(toks, budget):
                 last_exc = None
-                for _attempt in range(max_attempts):
+                for attempt in range(max_attempts):
+                    if attempt and wait_seconds:
+                        time.sleep(wait_seconds)
                     try:
                         got, n_used = client(texts[sl])
                         if len(got) != sl.stop - sl.start:
@@ -228,7 +238,9 @@ def attach_embeddings(chunks: DataFrame, vectors: DataFrame, key: str = "id") ->
 
 
 def check_one_to_one(left: DataFrame, right: DataFrame, key: str = "id") -> None:
-    a, b = left.select(key).distinct().count(), right.select(key).distinct().count()
-    j = left.select(key).join(right.select(key), key).count()
-    if not (a == b == j):
+    one = F.lit(1)
+    both = left.select(key, one.alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(key, F.lit(0).alias("_l"), one.alias("_r"))).groupBy(key).agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+    a, b, j = both.agg(F.sum("l"), F.sum("r"), F.sum(((F.col("l") == 1) & (F.col("r") == 1)).cast("int"))).first()
+    if not ((a or 0) == (b or 0) == (j or 0)):
         raise ValueError(f"chunks ({a}) and vectors ({b}) do not pair 1:1 ({j} joined)")

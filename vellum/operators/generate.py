@@ -9,6 +9,7 @@ user responder in Arrow batches with one client per configuration per task.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -74,7 +75,8 @@ Responder = Callable[[list[dict]], tuple[str, int, int]]
 
 
 def generate(requests: DataFrame, responder_factory: Callable[[str, str, float, int], Responder],
-             key_cols: Sequence[str], max_attempts: int = 1, mode: str = "quarantine") -> DataFrame:
+             key_cols: Sequence[str], max_attempts: int = 1, mode: str = "quarantine",
+             wait_seconds: float = 0.0) -> DataFrame:
     """Run ``responder(messages) -> (text, prompt_tokens, completion_tokens)``.
 
     Rows are clustered by configuration inside each task so a task opens one
@@ -99,7 +101,9 @@ def generate(requests: DataFrame, responder_factory: Callable[[str, str, float,
                     clients[cfg] = responder_factory(*cfg)
                 msgs = [{"role": m["role"], "content": m["content"]} for m in rec["messages"]]
                 text, pt, ct, err = None, None, None, None
-                for _ in range(max_attempts):
+                for attempt in range(max_attempts):
+                    if attempt and wait_seconds:
+                        time.sleep(wait_seconds)
                     try:
                         text, pt, ct = clients[cfg](msgs)
                         err = None
@@ -115,6 +119,12 @@ def generate(requests: DataFrame, responder_factory: Callable[[str, str, float,
     return src.mapInPandas(run, schema)
 
 
+def generate_once(requests: DataFrame, responder_factory, key_cols: Sequence[str], **kw) -> DataFrame:
+    """``generate``, written to the shared checkpoint folder at once: whatever
+    reads the responses afterwards does not call the model again."""
+    return generate(requests, responder_factory, key_cols, **kw).checkpoint(eager=True)
+
+
 def echo_responder(model: str, provider: str, temperature: float, max_tokens: int) -> Responder:
     """Deterministic offline responder: answers "I don't know." and counts
     whitespace-separated words as tokens."""

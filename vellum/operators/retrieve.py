@@ -3,17 +3,19 @@
 A *query set* is several phrasings of one question: a chunk's score for the
 set is the maximum dot product over its phrasings (the reference calls it
 cosine similarity; it is cosine only for unit vectors).  Chunks with a score
-``>= threshold`` (NaN never passes) are ranked by the reported similarity
-(rounded to 6 places) descending, ties by id, and the first ``k`` kept.
+``>= threshold`` (NaN never passes) are ranked by score descending, ties by id,
+and the first ``k`` kept.  Scores are compared to 12 places, which is what a
+double keeps of a sum whatever its order; the reported similarity is rounded
+to 6 places for display only.
 
 Many query sets run in one job.  The query side is small and its size is
-checked before it is shipped to the tasks (``MAX_QUERY_VECTORS``); the chunk
+split into blocks by bytes before it is shipped to the tasks; the chunk
 side is never shuffled whole:
 
 * ``score_sets`` (default engine) multiplies each Arrow batch of chunk
   vectors with the query matrix (NumPy/BLAS), takes the per-set maximum,
-  applies the threshold and keeps a running per-set top-k (with a small
-  tie slack) per task, so only about ``k x sets`` rows per task leave it;
+  applies the threshold and keeps a running per-set top-k by the total order
+  (score, id), so at most ``k x sets`` rows per task leave it;
 * ``score_sets_native`` computes the same with higher-order functions in the
   JVM against the query sets packed by a scalar subquery (no join).
 
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +40,9 @@ SIMILARITY_FUNCTION = "cosine_similarity"
 DEFAULT_TOP_K = 5
 DEFAULT_THRESHOLD = 0.15
 
-MAX_QUERY_VECTORS = 200_000      # query vectors shipped to every task (x d x 8 bytes)
-TIE_SLACK = 2e-6                 # keeps rows that may tie after rounding to 6 places
+QUERY_BLOCK_BYTES = 64 << 20     # query vectors shipped to a task at a time
+TILE_BYTES = 32 << 20            # scores held by a task at a time
+RANK_PLACES = 12                 # scores that agree so far are ties
 
 
 def check_top_k(k: int) -> None:
@@ -46,20 +50,21 @@ def check_top_k(k: int) -> None:
         raise ValueError("top_k must be >= 0")
 
 
-def query_blocks(queries: DataFrame, set_col: str = "query_set_id",
-                 max_vectors: int | None = None) -> list[DataFrame]:
-    """Split the query side into blocks of at most about ``max_vectors`` rows.
+def query_blocks(queries: DataFrame, set_col: str = "query_set_id", vec_col: str = "embedding",
+                 block_bytes: int | None = None) -> list[DataFrame]:
+    """Split the query side into blocks of at most about ``block_bytes`` of vectors.
 
     Rows are spread by a hash of (set, query) so that even one huge query
     set is divided evenly; the maximum over a set is combined across blocks
     afterwards.  One block (no split) in the usual case.
     """
-    limit = max_vectors or MAX_QUERY_VECTORS
-    n = queries.count()
-    if n <= limit:
+    limit = block_bytes or QUERY_BLOCK_BYTES
+    n, d = queries.agg(F.count("*"), F.max(F.size(vec_col))).first()
+    size = n * max(d or 0, 1) * 8
+    if size <= limit:
         return [queries]
-    blocks = -(-2 * n // limit)
-    key = F.pmod(F.xxhash64(*[F.col(c) for c in queries.columns if c != "embedding"]), F.lit(blocks))
+    blocks = -(-2 * size // limit)
+    key = F.pmod(F.xxhash64(*[F.col(c) for c in queries.columns if c != vec_col]), F.lit(blocks))
     tagged = queries.withColumn("_block", key)
     return [tagged.where(F.col("_block") == b).drop("_block") for b in range(blocks)]
 
@@ -74,41 +79,38 @@ def _combine_blocks(parts: list[DataFrame], id_col: str, set_col: str) -> DataFr
 
 
 def _query_sets_local(queries: DataFrame, set_col: str, vec_col: str, dim: int | None):
+    # one block, bounded in bytes; through Arrow, without a Python object per number
     rows = (queries.select(F.col(set_col).cast("bigint").alias("s"), F.col(vec_col).cast("array<double>").alias("v"))
-            .orderBy("s").collect())
-    if not rows:
+            .orderBy("s").toArrow())
+    if not rows.num_rows:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros((0, dim or 0))
-    mat = np.array([r.v for r in rows], dtype=np.float64)
-    if mat.ndim != 2 or (dim is not None and mat.shape[1] != dim):
+    vectors = rows["v"].combine_chunks()
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), -1))
+    if (sizes != sizes[0]).any() or (dim is not None and sizes[0] != dim):
         raise ValueError("query vectors have inconsistent dimensions")
-    sets = np.array([r.s for r in rows], dtype=np.int64)
+    mat = np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(sizes), -1)
+    sets = np.asarray(rows["s"].combine_chunks())
     starts = np.r_[0, np.nonzero(sets[1:] != sets[:-1])[0] + 1]
     return sets[starts], starts, mat
 
 
 def _prune(set_idx: np.ndarray, score: np.ndarray, ids: pa.Array, k: int):
-    """Keep per set the k best scores plus rows within TIE_SLACK of the k-th."""
+    """Keep the k first rows per set by (score descending, id ascending)."""
     if len(score) == 0:
         return set_idx, score, ids
-    order = np.lexsort((-score, set_idx))
-    s, sc = set_idx[order], score[order]
+    table = pa.table({"s": pa.array(set_idx), "key": pa.array(np.round(score, RANK_PLACES)), "id": ids})
+    order = np.asarray(pc.sort_indices(table, [("s", "ascending"), ("key", "descending"), ("id", "ascending")]))
+    s = set_idx[order]
     pos = np.arange(len(s))
     first = np.r_[True, s[1:] != s[:-1]]
-    gstart = np.maximum.accumulate(np.where(first, pos, 0))
-    gend = np.r_[np.nonzero(first)[0][1:], len(s)]
-    gend_per = gend[np.cumsum(first) - 1]
-    rank = pos - gstart
-    kth_pos = np.minimum(gstart + k - 1, gend_per - 1)
-    has_k = (gend_per - gstart) >= k
-    keep = (rank < k) | (has_k & (sc >= sc[kth_pos] - TIE_SLACK))
-    idx = order[keep]
+    idx = order[pos - np.maximum.accumulate(np.where(first, pos, 0)) < k]
     return set_idx[idx], score[idx], ids.take(pa.array(idx))
 
 
 def score_sets(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
                id_col: str = "id", vec_col: str = "embedding",
                set_col: str = "query_set_id", dim: int | None = None,
-               max_vectors: int | None = None) -> DataFrame:
+               block_bytes: int | None = None) -> DataFrame:
     """Candidate rows ``(query_set_id, <id_col>, score)`` via Arrow + BLAS.
 
     Every row that can be in a set's top-k is among the candidates: per
@@ -119,7 +121,7 @@ def score_sets(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
     check_top_k(k)
     parts = [_score_block(db, qb, k=k, threshold=threshold, id_col=id_col, vec_col=vec_col,
                           set_col=set_col, dim=dim)
-             for qb in query_blocks(queries, set_col, max_vectors)]
+             for qb in query_blocks(queries, set_col, "embedding", block_bytes)]
     return _combine_blocks(parts, id_col, set_col)
 
 
@@ -150,18 +152,20 @@ def _score_block(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
                 raise ValueError(f"embedding vectors must all have {d} values")
             x = np.asarray(vecs.values.to_numpy(zero_copy_only=False), dtype=np.float64)
             x = x[offs[0]:offs[-1]].reshape(-1, d)
-            m = np.maximum.reduceat(x @ qt, st, axis=1)
-            with np.errstate(invalid="ignore"):
-                ok = m >= threshold
-            rows, sets = np.nonzero(ok)
-            if len(rows) == 0:
-                continue
-            c_set = np.concatenate([c_set, sets.astype(np.int64)])
-            c_score = np.concatenate([c_score, m[rows, sets]])
-            new_ids = ids.take(pa.array(rows))
-            c_ids = new_ids if c_ids is None else pa.concat_arrays([c_ids, new_ids])
-            if len(c_score) > 4 * k * len(sids) + 4096:
-                c_set, c_score, c_ids = _prune(c_set, c_score, c_ids, k)
+            step = max(1, TILE_BYTES // (8 * qt.shape[1]))
+            for lo in range(0, len(x), step):
+                m = np.maximum.reduceat(x[lo:lo + step] @ qt, st, axis=1)
+                with np.errstate(invalid="ignore"):
+                    ok = m >= threshold
+                rows, sets = np.nonzero(ok)
+                if len(rows) == 0:
+                    continue
+                c_set = np.concatenate([c_set, sets.astype(np.int64)])
+                c_score = np.concatenate([c_score, m[rows, sets]])
+                new_ids = ids.take(pa.array(rows + lo))
+                c_ids = new_ids if c_ids is None else pa.concat_arrays([c_ids, new_ids])
+                if len(c_score) > 4 * k * len(sids) + 4096:
+                    c_set, c_score, c_ids = _prune(c_set, c_score, c_ids, k)
         if c_ids is None:
             return
         c_set, c_score, c_ids = _prune(c_set, c_score, c_ids, k)
@@ -179,10 +183,8 @@ def packed_query_sets(queries: DataFrame, set_col: str = "query_set_id",
 
     The caller passes a block already bounded by ``query_blocks`` (or the
     count is checked here)."""
-    if not checked:
-        n = queries.count()
-        if n > MAX_QUERY_VECTORS:
-            raise ValueError(f"{n} query vectors exceed the bound {MAX_QUERY_VECTORS}; use query_blocks")
+    if not checked and len(query_blocks(queries, set_col, vec_col)) > 1:
+        raise ValueError("the query vectors exceed one block; use query_blocks")
     per_set = queries.groupBy(F.col(set_col).cast("bigint").alias("s")).agg(
         F.collect_list(F.col(vec_col).cast("array<double>")).alias("vs"))
     return per_set.agg(F.collect_list(F.struct("s", "vs")).alias("sets")).scalar()
@@ -191,12 +193,12 @@ def packed_query_sets(queries: DataFrame, set_col: str = "query_set_id",
 def score_sets_native(db: DataFrame, queries: DataFrame, *, threshold: float,
                       id_col: str = "id", vec_col: str = "embedding",
                       set_col: str = "query_set_id", dim: int | None = None,
-                      max_vectors: int | None = None) -> DataFrame:
+                      block_bytes: int | None = None) -> DataFrame:
     """All passing ``(query_set_id, id, score)`` rows, computed in the JVM
     (blocks of query vectors combined by maximum)."""
     parts = [_score_block_native(db, qb, threshold=threshold, id_col=id_col, vec_col=vec_col,
                                  set_col=set_col, dim=dim)
-             for qb in query_blocks(queries, set_col, max_vectors)]
+             for qb in query_blocks(queries, set_col, "embedding", block_bytes)]
     return _combine_blocks(parts, id_col, set_col)
 
 
@@ -215,12 +217,16 @@ def _score_block_native(db: DataFrame, queries: DataFrame, *, threshold: float,
             .select(F.col(f"p.{set_col}").alias(set_col), id_col, F.col("p.score").alias("score")))
 
 
+def rank_key(score: str = "score") -> Column:
+    return F.round(score, RANK_PLACES)
+
+
 def rank_top_k(scores: DataFrame, k: int, id_col: str = "id",
                set_col: str = "query_set_id") -> DataFrame:
     """``similarity`` (6 places) and 1-based ``rank`` per set; keeps rank <= k."""
     check_top_k(k)
     sim = scores.withColumn("similarity", F.round("score", 6))
-    w = Window.partitionBy(set_col).orderBy(F.col("similarity").desc(), F.col(id_col).asc())
+    w = Window.partitionBy(set_col).orderBy(rank_key().desc(), F.col(id_col).asc())
     return sim.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -229,7 +235,7 @@ def top_k_single(scores: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     (TakeOrderedAndProject: per-partition top-k, then a k-row merge)."""
     check_top_k(k)
     sim = scores.withColumn("similarity", F.round("score", 6))
-    top = sim.orderBy(F.col("similarity").desc(), F.col(id_col).asc()).limit(k)
+    top = sim.orderBy(rank_key().desc(), F.col(id_col).asc()).limit(k)
     return top
 
 
@@ -242,17 +248,21 @@ def late_materialise(top: DataFrame, db: DataFrame, id_col: str = "id",
     """Fetch content and metadata for the winners only.
 
     ``top`` is bounded by k x sets (``max_rows`` when the caller knows it).
-    The winners are checkpointed (one scoring pass), and when there are few
-    of them their ids are pushed into the store scan as an ``IN`` filter
-    (row groups are skipped by statistics / bloom filter); the store side
-    is read column-pruned and joined to the broadcast winners.
+    The winners are checkpointed (one scoring pass).  When there are few of
+    them their ids are pushed into the store scan as an ``IN`` filter (row
+    groups are skipped by the bloom filter; the session's limit on the length
+    of such lists is raised as far as needed); the store side is read
+    column-pruned and joined to the winners.
     """
     from vellum.operators.joins import MAX_BROADCAST_ROWS  # noqa: PLC0415
     store = db.select(id_col, *cols)
     bounded = max_rows is not None and max_rows <= MAX_BROADCAST_ROWS
-    if push_ids and bounded and max_rows <= MAX_PUSHED_IDS:
+    if max_rows is not None:
         top = top.checkpoint(eager=True)
+    if push_ids and bounded and max_rows <= MAX_PUSHED_IDS:
         ids = [r[0] for r in top.select(id_col).distinct().collect()]
+        conf, name = db.sparkSession.conf, "spark.sql.parquet.pushdown.inFilterThreshold"
+        conf.set(name, str(max(int(conf.get(name)), len(ids))))
         store = store.where(F.col(id_col).isin(ids)) if ids else store.limit(0)
     return store.join(F.broadcast(top) if bounded else top, id_col, "inner")
 

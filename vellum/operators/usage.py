@@ -1,13 +1,16 @@
 """LLM usage accounting: usage facts, per-model sums, cost with default 0.
 
-The ledger is an append-only fact table ``(request_id, model,
-prompt_tokens, completion_tokens)``; totals are queries over it, so
-concurrent writers need no lock and a retried task cannot double count
-once the fact rows are keyed and de-duplicated.
+The ledger is an append-only fact table ``(call_id, request_id, model,
+prompt_tokens, completion_tokens)`` with one row for every successful call;
+totals are queries over it and count every call, so concurrent writers need
+no lock.  A request that was answered twice has two calls, both paid.
+``call_id`` names the call: rows that repeat a call_id are one call, written
+twice by a replayed append.
 """
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,7 @@ COST_PER_1K = [
 ]
 
 USAGE_SCHEMA = T.StructType([
+    T.StructField("call_id", T.StringType()),
     T.StructField("request_id", T.StringType()),
     T.StructField("model", T.StringType()),
     T.StructField("prompt_tokens", T.LongType()),
@@ -71,11 +75,31 @@ def usage_cost(usage: DataFrame, rates: DataFrame) -> DataFrame:
                  F.round(F.sum("cost"), 6).cast("double").alias("cost")))
 
 
-def append_usage(usage: DataFrame, path: str) -> None:
+def append_usage(usage: DataFrame, path: str, run_id: str | None = None) -> str:
+    """Append successful calls; returns the run id.
+
+    Without a ``call_id`` column each row is a call of its own, named by the
+    run and its place in it.  The rows are counted as they are written, so
+    give a materialised frame (the output of ``generate`` written once).
+    """
+    run_id = run_id or uuid.uuid4().hex
+    if "call_id" not in usage.columns:
+        usage = usage.withColumn("call_id", F.concat_ws("-", F.lit(run_id), F.monotonically_increasing_id().cast("string")))
     usage.select(*[f.name for f in USAGE_SCHEMA.fields]).write.mode("append").parquet(path)
+    return run_id
+
+
+def read_usage(spark: SparkSession, path: str) -> DataFrame:
+    """All calls of the ledger, each once."""
+    return spark.read.schema(USAGE_SCHEMA).parquet(path).dropDuplicates(["call_id"])
+
 
+def record_usage(responses: DataFrame, path: str, request_col: str) -> DataFrame:
+    """Append the usage of the successful responses of ``generate``.
 
-def read_usage(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
-    """Ledger rows; a request appended twice (a re-run job) counts once."""
-    df = spark.read.schema(USAGE_SCHEMA).parquet(path)
-    return df.dropDuplicates(["request_id"]) if dedupe else df
+    ``responses`` must be materialised (see ``generate_once``): reading it again
+    must not call the model again."""
+    calls = responses.where(F.col("error").isNull()).select(
+        F.col(request_col).cast("string").alias("request_id"), "model", "prompt_tokens", "completion_tokens")
+    append_usage(calls, path)
+    return read_usage(responses.sparkSession, path)

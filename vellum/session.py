@@ -10,8 +10,10 @@ shared folder.  Only when it is unset (local tests) do we create one.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,12 +68,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="vellum-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package known to the Python workers, wherever they were started:
+    a zip that the driver's file server hands out, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="vellum-pkg-"), "vellum_pkg.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    p = os.path.join(folder, n)
+                    z.write(p, os.path.relpath(p, os.path.dirname(root)))
+    keep = list(sys.path)
+    spark.sparkContext.addPyFile(archive)
+    sys.path[:] = keep                      # the driver goes on with its own copy
+    _shipped.add(app)
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the shared checkpoint folder (optionally made unique)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +44,7 @@ def admit_files(files: DataFrame, mode: str = "strict") -> DataFrame:
     """Keep ``.pdf``/``.html``/``.txt`` (case-insensitive suffix).
 
     ``strict``: any other file fails the job (as one bad file fails a build);
-    ``quarantine``: rejected files are dropped here (see ``rejected_files``).
+    ``quarantine``: rejected files go on as ``rejected_files`` (counted by the build).
     """
     if mode == "strict":
         fail = F.raise_error(F.concat(F.lit("Unsupported file format: "), F.col("path"),
@@ -57,20 +56,52 @@ def admit_files(files: DataFrame, mode: str = "strict") -> DataFrame:
 
 
 def rejected_files(files: DataFrame) -> DataFrame:
-    return files.where(~admitted("path"))
+    """What ``quarantine`` leaves out: path and reason."""
+    why = F.concat(F.lit("Unsupported file format: "), F.col("path"))
+    return files.where(~admitted("path")).select("subject", "path", why.alias("error"))
+
+
+FORMATS = ("txt", "html", "pdf")
+
+
+def _entries(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """(path, is a folder) of everything directly in ``folder``, hidden or not."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"Folder not found: {folder}")
+    return [(f.getPath().toString(), f.isDirectory()) for f in fs.listStatus(path)]
 
 
 def scan_corpus(spark: SparkSession, root: str, subject: str) -> DataFrame:
-    """Direct children of ``root/subject`` as ``(subject, path, format, content BINARY)``."""
+    """All direct children of ``root/subject``: ``(subject, path, format, content BINARY)``.
+
+    One read per format, told apart by name, so that a loader reads the files
+    of its format only.  Entries that Spark's listing leaves out or that have
+    another suffix (subfolders, hidden files) are rows without content: a
+    strict admission refuses them, a quarantine reports them.
+    """
     folder = root.rstrip("/") + "/" + subject
-    try:
-        raw = (spark.read.format("binaryFile")
-               .option("recursiveFileLookup", "false")
-               .load(folder))
-    except AnalysisException as exc:  # path does not exist
-        raise FileNotFoundError(f"Folder not found: {folder}") from exc
-    return spread(raw.select(F.lit(subject).alias("subject"), F.col("path"),
-                             file_format("path").alias("format"), F.col("content")))
+    odd = []
+    for path, is_folder in _entries(spark, folder):
+        name = path.rsplit("/", 1)[-1]
+        known = name.lower().endswith(tuple("." + f for f in FORMATS))
+        if is_folder:
+            odd.append((subject, path + "/", "", None))
+        elif not known:
+            odd.append((subject, path, "", None))
+        elif name.startswith((".", "_")):
+            odd.append((subject, path + " (hidden)", "", None))
+    out = None
+    for fmt in FORMATS:
+        glob = "*." + "".join(f"[{c}{c.upper()}]" for c in fmt)
+        raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
+               .option("pathGlobFilter", glob).load(folder))
+        part = spread(raw.select(F.lit(subject).alias("subject"), F.col("path"), F.lit(fmt).alias("format"), F.col("content")))
+        out = part if out is None else out.unionByName(part)
+    if odd:
+        out = out.unionByName(spark.createDataFrame(odd, "subject string, path string, format string, content binary"))
+    return out
 
 
 def decode_utf8(content: Column, strict: bool = False) -> Column:
@@ -120,7 +151,10 @@ PageExtractor = Callable[[bytes], Iterable[str]]
 
 
 def form_feed_pages(data: bytes) -> list[str]:
-    """Stand-in page extractor: UTF-8 text whose pages are separated by form feeds."""
+    """Stand-in page extractor: UTF-8 text whose pages are separated by form feeds.
+    Real PDF bytes are refused: they need an extractor that reads them."""
+    if data[:1024].lstrip().startswith(b"%PDF"):
+        raise ValueError("a PDF file needs a page extractor (pass extractor=...)")
     return data.decode("utf-8", errors="replace").split("\f")
 
 
@@ -136,12 +170,11 @@ def load_pdf(files: DataFrame, extractor: PageExtractor = form_feed_pages) -> Da
     src = pdf.select("subject", "path", content.alias("content"))
 
     def pages(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # one frame per file: no more pages in memory than one file has
         for batch in it:
-            rows = []
             for subject, path, data in zip(batch["subject"], batch["path"], batch["content"]):
-                for i, text in enumerate(extractor(bytes(data))):
-                    rows.append((subject, path, i, text))
-            yield pd.DataFrame(rows, columns=["subject", "path", "page", "page_content"])
+                rows = [(subject, path, i, text) for i, text in enumerate(extractor(bytes(data)))]
+                yield pd.DataFrame(rows, columns=["subject", "path", "page", "page_content"])
 
     out = src.mapInPandas(pages, "subject string, path string, page int, page_content string")
     return out.select(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 METADATA = T.StructType([
@@ -53,6 +52,12 @@ def write_store(rows: DataFrame, path: str, compression: str = "gzip") -> None:
      .parquet(path))
 
 
+def replace_with_nothing(spark: SparkSession, path: str, subject: str) -> None:
+    """A rebuild that gives no rows leaves no old rows of its subject."""
+    (spark.createDataFrame([], STORE_SCHEMA).write.mode("overwrite")
+     .parquet(f"{path.rstrip('/')}/subject={subject}"))
+
+
 def read_store(spark: SparkSession, path: str, subject: str | None = None,
                columns: list[str] | None = None) -> DataFrame:
     """Rows of one subject (or all), pruned to ``columns``."""
@@ -69,6 +74,3 @@ def read_store(spark: SparkSession, path: str, subject: str | None = None,
         df = df.select(*columns)
     return df
 
-
-def with_subject(df: DataFrame, subject: str) -> DataFrame:
-    return df.withColumn("subject", F.lit(subject))
