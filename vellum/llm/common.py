@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import functools
-import os
-import sys
-import tempfile
 import uuid
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,34 +11,18 @@ import pyarrow.compute  # noqa: F401 - used as pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.session import ensure_checkpoint_dir, read_table
+from vellum.session import ensure_checkpoint_dir, read_table, ship_package
 
 __all__ = ["read_table", "prepare", "materialise", "slices", "spread_small", "utf8", "held_out"]
 
 #: Bytes of text that a Python task holds as NumPy arrays at a time (one text may be longer).
 SLICE_BYTES = 4 << 20
 
-_shipped: set[str] = set()
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Checkpoint folder set (the session's own setting comes first) and the
-    package known to the Python workers, wherever they were started."""
+    package known to the Python workers."""
     ensure_checkpoint_dir(spark)
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        archive = os.path.join(tempfile.mkdtemp(prefix="vellum-pkg-"), "vellum_pkg.zip")
-        with zipfile.ZipFile(archive, "w") as z:
-            for folder, _, names in os.walk(root):
-                for n in names:
-                    if n.endswith(".py"):
-                        p = os.path.join(folder, n)
-                        z.write(p, os.path.relpath(p, os.path.dirname(root)))
-        keep = list(sys.path)
-        spark.sparkContext.addPyFile(archive)   # read by the driver's file server
-        sys.path[:] = keep                      # the driver goes on with its own copy
-        _shipped.add(app)
+    ship_package(spark)
     return spark
 
 
@@ -92,8 +71,3 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id's text mod 3 is 1 (a null id is held out: it has no text)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))
-
-
-def per_process(make: Callable):
-    """Cache of one value per worker process and argument."""
-    return functools.lru_cache(maxsize=4)(make)
