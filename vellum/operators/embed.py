@@ -177,7 +177,7 @@ def embed(df: DataFrame, embedder_factory: Callable[[], Embedder], key_cols: Seq
     nothing is silently truncated.
     """
     keys = list(key_cols)
-    cols = keys + [text_col] + ([tokens_col] if tokens_col else [])
+    cols = list(dict.fromkeys([*keys, text_col, *([tokens_col] if tokens_col else [])]))
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in df.select(*keys).schema.fields)
     schema = f"{key_schema}, embedding array<double>, embed_tokens bigint, error string"

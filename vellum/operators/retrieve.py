@@ -239,7 +239,8 @@ def top_k_single(scores: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     return top
 
 
-MAX_PUSHED_IDS = 20_000
+MAX_PUSHED_IDS = 20_000         # ids in an IN list (about 1.5 MB)
+MAX_BROADCAST_ROWS = 1_000_000  # winners (id, scores) that are broadcast
 
 
 def late_materialise(top: DataFrame, db: DataFrame, id_col: str = "id",
@@ -254,7 +255,6 @@ def late_materialise(top: DataFrame, db: DataFrame, id_col: str = "id",
     of such lists is raised as far as needed); the store side is read
     column-pruned and joined to the winners.
     """
-    from vellum.operators.joins import MAX_BROADCAST_ROWS  # noqa: PLC0415
     store = db.select(id_col, *cols)
     bounded = max_rows is not None and max_rows <= MAX_BROADCAST_ROWS
     if max_rows is not None:

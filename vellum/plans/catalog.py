@@ -2,9 +2,8 @@
 statement per operator.  Every query reads the driver tables of ``sf_dir``.
 
 Table roles: ``documents`` = txt corpus (subject = language folder),
-``pages`` = html corpus, ``embeddings`` = a vector database whose ``label``
-groups form query sets, ``benchmark`` = user questions, ``conversations`` =
-LLM requests (one per conversation).
+``pages`` = html corpus, ``embeddings`` = vectors with a label, ``benchmark`` =
+user questions, ``conversations`` = LLM requests (one per conversation).
 """
 
 from __future__ import annotations
@@ -18,16 +17,15 @@ from vellum.functions.text import NON_SPACE_RUN, normalise_whitespace, stable_id
 from vellum.functions.vectors import as_double_vector, cosine, dot, hash_vector
 from vellum.operators.chunker import split_documents
 from vellum.operators.context import assemble_context, budgeted_blocks, document_block
-from vellum.operators.embed import (HASH_MODEL, HashEmbedder, attach_embeddings, embed,
-                                    embed_batches, hash_embed, token_guard)
-from vellum.operators.joins import join_small
+from vellum.operators.embed import HashEmbedder, embed, embed_batches, global_row_number, hash_embed, token_guard
 from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
-                                       echo_responder, generate, request_configs)
-from vellum.operators.retrieve import (rank_top_k, render, score_sets, score_sets_native,
-                                       top_k_single)
-from vellum.operators.usage import append_usage, cost_rates, read_usage, usage_by_model, usage_cost
+                                       echo_responder, generate, generate_once, request_configs)
+from vellum.operators.retrieve import (RANK_PLACES, rank_key, rank_top_k, render, score_sets,
+                                       score_sets_native, top_k_single)
+from vellum.operators.usage import (append_usage, cost_rates, read_usage, record_usage, usage_by_model,
+                                    usage_cost)
 from vellum.plans import sql as S
-from vellum.plans.build import chunk_corpus, store_rows
+from vellum.plans.build import build_database, chunk_corpus
 from vellum.plans.retrieval import embed_questions, retrieval_prompts, retrieve
 from vellum.session import read_table, shared_path
 from vellum.sources.corpus import (admitted, corpus_files_from_tables, file_format, load_corpus,
@@ -78,7 +76,7 @@ def corpus_chunks(spark, sf):
 
 
 def store(spark, sf):
-    return store_rows(corpus_chunks(spark, sf), HASH_MODEL, 64)
+    return build_database(files(spark, sf), include_pdf=False)
 
 
 def questions(spark, sf):
@@ -90,23 +88,31 @@ def label_db(spark, sf):
         "vec_id", "label", as_double_vector("embedding").alias("embedding"))
 
 
-def label_queries(spark, sf):
-    return label_db(spark, sf).select(F.col("label").cast("bigint").alias("query_set_id"),
-                                      F.col("vec_id").alias("query_id"), "embedding")
+_stores: dict[tuple[str, str], str] = {}
 
 
-def label_scores(spark, sf, threshold):
-    return score_sets_native(label_db(spark, sf), label_queries(spark, sf), threshold=threshold,
-                             id_col="vec_id", dim=64)
+def written_store(spark, sf):
+    """The store of this data folder, built and written once per application
+    (gzip Parquet by subject): what only reads a store does not build it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stores:
+        path = shared_path(spark, "store", unique=True)
+        write_store(store(spark, sf), path)
+        _stores[key] = path
+    return read_store(spark, _stores[key])
 
 
-def written_store(spark, sf):
-    """Build once, write the store (gzip Parquet by subject), read it back:
-    retrieval then scans Parquet twice (vectors, then winners' content)
-    instead of recomputing the build."""
-    path = shared_path(spark, "store", unique=True)
-    write_store(store(spark, sf), path)
-    return read_store(spark, path)
+def one_query_set(spark, sf):
+    """All benchmark questions as phrasings of one question."""
+    return questions(spark, sf).withColumn("query_set_id", F.lit(0).cast("bigint"))
+
+
+def one_set_scores(spark, sf, threshold):
+    return score_sets_native(written_store(spark, sf), one_query_set(spark, sf), threshold=threshold, dim=64)
+
+
+def set_topk(spark, sf):
+    return rank_top_k(score_sets(written_store(spark, sf), questions(spark, sf), k=K, threshold=THRESHOLD, dim=64), K)
 
 
 def text_results(spark, sf):
@@ -231,19 +237,22 @@ SELECT subject, printf('corpus/%s/page-%d.html', subject, page_id) AS path, 'htm
                                                       F.col("metadata.title").alias("meta_title")),
         _with(S.PAGE_FILES, S.HTML_DOCS) + " SELECT path, meta_source, meta_title FROM html_docs")
 
-    # S5 pdf pages (documents as form-feed paged files, user extractor)
+    # S5 pdf pages (four documents of a language as one form-feed paged file, user extractor)
     def pdf_files(sp, sf):
-        return read_table(sp, sf, "documents").select(
-            F.col("lang").alias("subject"),
-            F.format_string("corpus/%s/doc-%d.pdf", F.col("lang"), F.col("doc_id")).alias("path"),
-            F.lit("pdf").alias("format"), F.encode("text", "UTF-8").alias("content"))
+        pages = read_table(sp, sf, "documents").groupBy("lang", F.floor(F.col("doc_id") / 4).alias("n")).agg(
+            F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("p"))
+        return pages.select(
+            F.col("lang").alias("subject"), F.format_string("corpus/%s/doc-%d.pdf", F.col("lang"), F.col("n")).alias("path"),
+            F.lit("pdf").alias("format"),
+            F.encode(F.array_join(F.transform("p", lambda x: x["text"]), "\f"), "UTF-8").alias("content"))
     R["pdf_pages"] = (
         lambda sp, sf: load_pdf(pdf_files(sp, sf)).select("path", "page", "page_content",
                                                           F.col("metadata.source").alias("meta_source"),
                                                           F.col("metadata.page").alias("meta_page")),
-        """SELECT path, CAST(page AS INTEGER) AS page, page_content, path AS meta_source, CAST(page AS INTEGER) AS meta_page
-FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
-             generate_subscripts(string_split(text, chr(12)), 1) - 1 AS page,
+        """SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY doc_id, page) - 1 AS INTEGER) AS page, page_content,
+       path AS meta_source, CAST(row_number() OVER (PARTITION BY path ORDER BY doc_id, page) - 1 AS INTEGER) AS meta_page
+FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id // 4) AS path, doc_id,
+             generate_subscripts(string_split(text, chr(12)), 1) AS page,
              unnest(string_split(text, chr(12))) AS page_content FROM documents)""")
 
     # S6 union of loaders
@@ -284,13 +293,18 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
         _with(S.TXT_DOCS, S.norm_txt_docs(), S.chunk_ctes("norm_docs", "doc_id", "page_content", 512, 64, "dc"))
         + f" SELECT k AS doc_id, chunk_index, CAST({S.token_count('content')} AS INTEGER) AS tokens FROM dc_chunks")
 
-    # P7 token guard over whole documents taken as single chunks
+    # P7 token guard over sixteen documents of a language taken as one chunk (some are over the limit)
+    def joined(sp, sf):
+        docs = txt_docs(sp, sf).groupBy("subject", F.floor(F.col("doc_id") / 16).alias("n")).agg(
+            F.sort_array(F.collect_list(F.struct("doc_id", "page_content"))).alias("p"))
+        return docs.select("subject", F.col("n").cast("bigint").alias("n"), token_count(normalise_whitespace(
+            F.array_join(F.transform("p", lambda x: x["page_content"]), "\n"))).alias("tokens"))
     R["token_guard"] = (
-        lambda sp, sf: token_guard(
-            txt_docs(sp, sf).select("doc_id", token_count(normalise_whitespace("page_content")).alias("tokens")),
-            "tokens", mode="flag"),
-        _with(S.TXT_DOCS) + f""" SELECT doc_id, CAST({S.token_count(S.normalise('page_content'))} AS INTEGER) AS tokens,
-       {S.token_count(S.normalise('page_content'))} <= 8191 AS within_limit FROM txt_docs""")
+        lambda sp, sf: token_guard(joined(sp, sf), "tokens", mode="flag"),
+        _with(S.TXT_DOCS) + f""", joined AS (
+  SELECT subject, doc_id // 16 AS n, string_agg(page_content, chr(10) ORDER BY doc_id) AS t FROM txt_docs GROUP BY subject, doc_id // 16)
+SELECT subject, CAST(n AS BIGINT) AS n, CAST({S.token_count(S.normalise('t'))} AS INTEGER) AS tokens,
+       {S.token_count(S.normalise('t'))} <= 8191 AS within_limit FROM joined""")
 
     # P8 stable chunk ids
     R["chunk_id"] = (
@@ -333,7 +347,7 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
         cent = (dims.groupBy("label", "i").agg(F.avg("x").alias("m"))
                 .groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))),
                                                   lambda t: t["m"]).alias("centroid")))
-        return (join_small(db, cent, "label")
+        return (db.join(cent, "label")
                 .select("vec_id", "label", F.round(cosine("embedding", "centroid"), 6).alias("cosine")))
     R["cosine_scores"] = (
         cosine_scores,
@@ -343,58 +357,53 @@ FROM (SELECT printf('corpus/%s/doc-%d.pdf', lang, doc_id) AS path,
         + f""" SELECT v.vec_id, v.label, round({S.dot('v.e', 'c.c')} / (sqrt({S.dot('v.e', 'v.e')}) * sqrt({S.dot('c.c', 'c.c')})), 6) AS cosine
 FROM vecs v JOIN cent c ON v.label = c.label""")
 
-    # A1 max over each label's query set, for every vector
+    # A1 max over one query set, one row per chunk of the store
+    best_sql = _with(S.store_ctes(), S.QUESTIONS) + f""",
+best AS (SELECT CAST(0 AS BIGINT) AS query_set_id, s.id, max({S.dot('s.embedding', 'q.embedding')}) AS score
+         FROM store s, questions q GROUP BY s.id)"""
     R["max_over_queries"] = (
-        lambda sp, sf: label_scores(sp, sf, float("-inf")).select(
-            "vec_id", "query_set_id", F.round("score", 6).alias("similarity")),
-        _with(S.label_scores_cte(None)) + " SELECT vec_id, query_set_id, round(score, 6) AS similarity FROM label_scores")
+        lambda sp, sf: one_set_scores(sp, sf, float("-inf")).select(
+            "id", "query_set_id", F.round("score", 6).alias("similarity")),
+        best_sql + " SELECT id, query_set_id, round(score, 6) AS similarity FROM best")
 
     # P12 threshold
     R["threshold_filter"] = (
-        lambda sp, sf: label_scores(sp, sf, THRESHOLD).select(
-            "vec_id", "query_set_id", F.round("score", 6).alias("similarity")),
-        _with(S.label_scores_cte(THRESHOLD)) + " SELECT vec_id, query_set_id, round(score, 6) AS similarity FROM label_scores")
-
-    # W2 ranks of all passing rows per set
+        lambda sp, sf: one_set_scores(sp, sf, THRESHOLD).select(
+            "id", "query_set_id", F.round("score", 6).alias("similarity")),
+        best_sql + f" SELECT id, query_set_id, round(score, 6) AS similarity FROM best WHERE NOT isnan(score) AND score >= {THRESHOLD}")
+
+    # W2 ranks of all passing rows of a set, numbered without gathering them
+    def ranked_results(sp, sf):
+        rows = one_set_scores(sp, sf, THRESHOLD).withColumn("_less", -rank_key())
+        return global_row_number(rows, ["_less", "id"], "rank").select(
+            "query_set_id", F.col("rank").cast("int").alias("rank"), "id", F.round("score", 6).alias("similarity"))
     R["ranked_results"] = (
-        lambda sp, sf: label_scores(sp, sf, THRESHOLD).withColumn("similarity", F.round("score", 6)).withColumn(
-            "rank", F.row_number().over(Window.partitionBy("query_set_id").orderBy(
-                F.col("similarity").desc(), F.col("vec_id")))).select("query_set_id", "rank", "vec_id", "similarity"),
-        _with(S.label_scores_cte(THRESHOLD)) + """ SELECT query_set_id,
-  CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, vec_id) AS INTEGER) AS rank,
-  vec_id, round(score, 6) AS similarity FROM label_scores""")
-
-    # T3 top-k per label set (BLAS engine)
-    label_topk_sql = _with(S.label_scores_cte(THRESHOLD)) + """,
-ranked AS (SELECT query_set_id, vec_id, score, round(score, 6) AS similarity,
-  CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, vec_id) AS INTEGER) AS rank FROM label_scores)
-"""
+        ranked_results,
+        best_sql + f""" SELECT query_set_id,
+  CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, {RANK_PLACES}) DESC, id) AS INTEGER) AS rank,
+  id, round(score, 6) AS similarity FROM best WHERE NOT isnan(score) AND score >= {THRESHOLD}""")
+
+    # T3 top-k per question (BLAS engine)
+    text_top_sql = _with(S.text_topk_ctes(K, THRESHOLD))
     R["retrieve_topk_batch"] = (
-        lambda sp, sf: rank_top_k(score_sets(label_db(sp, sf), label_queries(sp, sf), k=K, threshold=THRESHOLD,
-                                             id_col="vec_id", dim=64), K, id_col="vec_id")
-        .select("query_set_id", "rank", "vec_id", "similarity"),
-        label_topk_sql + f" SELECT query_set_id, rank, vec_id, similarity FROM ranked WHERE rank <= {K}")
+        lambda sp, sf: set_topk(sp, sf).select("query_set_id", "rank", "id", "similarity"),
+        text_top_sql + " SELECT query_set_id, rank, id, similarity FROM text_top")
 
     # P17 display form of the top-k
     R["render_results"] = (
-        lambda sp, sf: render(rank_top_k(score_sets(label_db(sp, sf), label_queries(sp, sf), k=K,
-                                                    threshold=THRESHOLD, id_col="vec_id", dim=64), K, id_col="vec_id"))
-        .select("query_set_id", "document_number", "vec_id", "similarity_text"),
-        label_topk_sql + f""" SELECT query_set_id, CAST(rank AS INTEGER) AS document_number, vec_id,
-  printf('%.4f', score) AS similarity_text FROM ranked WHERE rank <= {K}""")
+        lambda sp, sf: render(set_topk(sp, sf)).select("query_set_id", "document_number", "id", "similarity_text"),
+        text_top_sql + """ SELECT query_set_id, CAST(rank AS INTEGER) AS document_number, id,
+  printf('%.4f', score) AS similarity_text FROM text_top""")
 
     # T2 top-k of one query set: all benchmark questions as phrasings of one question
     def retrieve_topk(sp, sf):
-        qs = questions(sp, sf).withColumn("query_set_id", F.lit(0).cast("bigint"))
-        scores = score_sets(written_store(sp, sf), qs, k=K, threshold=THRESHOLD, dim=64)
+        scores = score_sets(written_store(sp, sf), one_query_set(sp, sf), k=K, threshold=THRESHOLD, dim=64)
         return top_k_single(scores, K).select(
-            F.row_number().over(Window.orderBy(F.col("similarity").desc(), "id")).alias("rank"),
-            "id", "similarity")
+            F.row_number().over(Window.orderBy(rank_key().desc(), "id")).alias("rank"), "id", "similarity")
     R["retrieve_topk"] = (
         retrieve_topk,
-        _with(S.store_ctes(), S.QUESTIONS) + f""",
-best AS (SELECT s.id, max({S.dot('s.embedding', 'q.embedding')}) AS score FROM store s, questions q GROUP BY s.id)
-SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, 6) DESC, id) AS INTEGER) AS rank, id, round(score, 6) AS similarity
+        best_sql + f"""
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, {RANK_PLACES}) DESC, id) AS INTEGER) AS rank, id, round(score, 6) AS similarity
                FROM best WHERE NOT isnan(score) AND score >= {THRESHOLD}) WHERE rank <= {K}""")
 
     # C2: questions embedded, and answered against the whole store
@@ -444,16 +453,17 @@ SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, 6) DESC, id)
         _with(S.store_ctes()) + f" SELECT {build_sql_cols}, {S.vec_text('embedding')} AS embedding FROM store")
 
     def roundtrip(sp, sf):
-        return written_store(sp, sf).select("id", "subject", "chunk_index", "tokens", "content",
+        path = shared_path(sp, "store", unique=True)
+        write_store(store(sp, sf), path)
+        return read_store(sp, path).select("id", "subject", "chunk_index", "tokens", "content",
                                            vec_text("embedding").alias("embedding"))
     R["vector_db_roundtrip"] = (
         roundtrip,
         _with(S.store_ctes()) + f" SELECT id, subject, chunk_index, tokens, content, {S.vec_text('embedding')} AS embedding FROM store")
 
     def scan(sp, sf):
-        path = shared_path(sp, "store", unique=True)
-        write_store(store(sp, sf), path)
-        return read_store(sp, path, subject="en", columns=["id", "content", "metadata", "subject"]).select(
+        written_store(sp, sf)
+        return read_store(sp, _stores[sp.sparkContext.applicationId, sf], subject="en", columns=["id", "content", "metadata", "subject"]).select(
             "id", "subject", "content", *_meta())
     R["vector_db_scan"] = (
         scan,
@@ -474,21 +484,15 @@ SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, 6) DESC, id)
         _with(S.doc_chunks_ctes(), S.hashed_ctes("dstore", "doc_chunks", "content"))
         + f" SELECT id, subject, chunk_index, tokens, content, {S.vec_text('embedding')} AS embedding FROM dstore")
 
-    # J2 + F1: user embedder through mapInPandas, paired back by id
-    def embedded_by_user(sp, sf):
-        ch = corpus_chunks(sp, sf)
-        vec = embed(ch, lambda: HashEmbedder(64), ["id"], "content", "tokens")
-        return ch, vec
+    # F1 + J2: user embedder through mapInPandas; what belongs to a vector stays in its row
     R["embed_chunks"] = (
-        lambda sp, sf: embedded_by_user(sp, sf)[1].select("id", vec_text("embedding").alias("embedding"), "error"),
+        lambda sp, sf: embed(corpus_chunks(sp, sf), lambda: HashEmbedder(64), ["id"], "content", "tokens").select(
+            "id", vec_text("embedding").alias("embedding"), "error"),
         _with(S.store_ctes()) + f" SELECT id, {S.vec_text('embedding')} AS embedding, CAST(NULL AS VARCHAR) AS error FROM store")
-
-    def attach(sp, sf):
-        ch, vec = embedded_by_user(sp, sf)
-        return attach_embeddings(ch.select("id", "content"), vec.select("id", "embedding")).select(
-            "id", "content", vec_text("embedding").alias("embedding"))
     R["attach_embeddings"] = (
-        attach, _with(S.store_ctes()) + f" SELECT id, content, {S.vec_text('embedding')} AS embedding FROM store")
+        lambda sp, sf: embed(corpus_chunks(sp, sf), lambda: HashEmbedder(64), ["id", "content"], "content", "tokens").select(
+            "id", "content", vec_text("embedding").alias("embedding")),
+        _with(S.store_ctes()) + f" SELECT id, content, {S.vec_text('embedding')} AS embedding FROM store")
 
     # W3 embedding batches, A2 token totals, A5 build counts
     R["embed_batches"] = (
@@ -526,6 +530,19 @@ FROM corpus_chunks GROUP BY subject, format""")
        CAST(len(regexp_extract_all(prompt, {S.q(NON_SPACE_RUN)})) AS BIGINT) AS prompt_tokens,
        CAST(3 AS BIGINT) AS completion_tokens, CAST(NULL AS VARCHAR) AS error FROM prompts""")
 
+    # the usage of every answered request, from the written responses through the ledger
+    def usage_after_generation(sp, sf):
+        req = prompts(sp, sf).select(
+            "query_set_id", F.when(F.col("query_set_id") % 2 == 0, "gpt-4o").otherwise("gpt-35-turbo").alias("model"),
+            F.lit("AzureOpenAI").alias("provider"), F.lit(0.1).alias("temperature"), F.lit(2048).alias("max_tokens"), "messages")
+        answers = generate_once(req, echo_responder, ["query_set_id"])
+        return usage_by_model(record_usage(answers, shared_path(sp, "ledger", unique=True), "query_set_id"))
+    R["usage_after_generation"] = (
+        usage_after_generation,
+        ctx_sql + f""" SELECT CASE WHEN query_set_id % 2 = 0 THEN 'gpt-4o' ELSE 'gpt-35-turbo' END AS model,
+       CAST(sum(len(regexp_extract_all(prompt, {S.q(NON_SPACE_RUN)}))) AS BIGINT) AS prompt_tokens,
+       CAST(sum(3) AS BIGINT) AS completion_tokens FROM prompts GROUP BY 1""")
+
     # P18/J5 admission, A7 configurations, S10 ledger, A3 per model, J4/A4 cost
     R["request_admission"] = (
         lambda sp, sf: admit_requests(requests(sp, sf), allow_list(sp)).select(
@@ -538,7 +555,7 @@ FROM corpus_chunks GROUP BY subject, format""")
     def ledger(sp, sf):
         path = shared_path(sp, "ledger", unique=True)
         append_usage(usage_facts(sp, sf), path)
-        return read_usage(sp, path)
+        return read_usage(sp, path).drop("call_id")
     R["usage_ledger"] = (ledger, _with(REQUESTS_SQL) + " SELECT request_id, model, prompt_tokens, completion_tokens FROM usage")
     R["usage_by_model"] = (
         lambda sp, sf: usage_by_model(usage_facts(sp, sf)),

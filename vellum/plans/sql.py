@@ -7,42 +7,66 @@ it matters: the chunker is a recursive CTE stepping one chunk at a time).
 
 from __future__ import annotations
 
-from vellum.functions.html import (COMMENT_PATTERN, REFERENCE_SPLIT, SCRIPT_PATTERN, STYLE_PATTERN,
-                                   TAG_PATTERN, TITLE_PATTERN, entity_table)
-from vellum.functions.text import STRIP_PATTERN, TOKEN_PATTERN, WORD_PATTERN
+from html import entities
+
+# The statements spell out their own patterns (RE2) and tables, so that a
+# wrong pattern on the Spark side does not go unseen.
+SPACES = (r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+STRIP = f"^{SPACES}+|{SPACES}+$"
+TOKENS = r"[\pL\pN]+|[^\x09-\x0D \pL\pN]"
+WORDS = r"[\pL\pN]+"
+TAG_END = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
+HIDDEN = (r"(?is)<script\b" + TAG_END + r".*?(?:</script\s*>|\z)|<style\b" + TAG_END + r".*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)")
+ANY_MARKUP = HIDDEN + r"|</?[a-z!?]" + TAG_END
+TITLE_ELEMENT = r"(?is)<title\b" + TAG_END + r"(.*?)</title\s*>"
+SHORT_NAMES = "|".join(sorted((k for k in entities.html5 if k[-1] != ";"), key=len, reverse=True))
+REFERENCES = r"&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|&(?:" + SHORT_NAMES + ")|[^&]+|&"
 
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def entity_map_sql() -> str:
-    items = ", ".join(f"{q(k)}: {q(v)}" for k, v in sorted(entity_table().items()))
-    return "MAP {" + items + "}"
+def as_map(items) -> str:
+    return "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in items) + "}"
+
+
+def windows_1252() -> str:
+    pairs = []
+    for n in range(128, 160):
+        try:
+            pairs.append((str(n), bytes([n]).decode("cp1252")))
+        except UnicodeDecodeError:
+            pass
+    return as_map(pairs)
+
+
+def code_point(n: str) -> str:
+    """Character of a number that may be NULL (too large)."""
+    return (f"CASE WHEN {n} IS NULL OR {n} = 0 OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN chr(65533) "
+            f"WHEN {n} BETWEEN 128 AND 159 THEN coalesce(map_extract_value({windows_1252()}, CAST({n} AS VARCHAR)), chr({n}::INTEGER)) "
+            f"ELSE chr({n}::INTEGER) END")
 
 
 def decode_refs(x: str) -> str:
-    return (f"array_to_string(list_transform(regexp_extract_all({x}, {q(REFERENCE_SPLIT)}), lambda t: CASE "
-            f"WHEN regexp_full_match(t, '&#[xX][0-9a-fA-F]+;') AND ('0x' || substr(t, 4, length(t) - 4))::BIGINT <= 1114111 "
-            f"THEN chr(('0x' || substr(t, 4, length(t) - 4))::INTEGER) "
-            f"WHEN regexp_full_match(t, '&#[0-9]+;') AND substr(t, 3, length(t) - 3)::BIGINT <= 1114111 "
-            f"THEN chr(substr(t, 3, length(t) - 3)::INTEGER) "
-            f"WHEN regexp_full_match(t, '&[A-Za-z][A-Za-z0-9]*;') "
-            f"THEN coalesce(map_extract_value({entity_map_sql()}, substr(t, 2, length(t) - 2)), t) "
-            f"ELSE t END), '')")
+    full = as_map((k[:-1], v) for k, v in entities.html5.items() if k[-1] == ";")
+    short = as_map((k, v) for k, v in entities.html5.items() if k[-1] != ";")
+    hexa = "TRY_CAST('0x' || rtrim(substr(t, 4), ';') AS BIGINT)"
+    deci = "TRY_CAST(rtrim(substr(t, 3), ';') AS BIGINT)"
+    start = f"regexp_extract(t, {q('^&(' + SHORT_NAMES + ')')}, 1)"
+    return (f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform(regexp_extract_all({x}, {q(REFERENCES)}), lambda t: CASE "
+            f"WHEN t[1:3] IN ('&#x', '&#X') THEN {code_point(hexa)} WHEN t[1:2] = '&#' AND length(t) > 2 THEN {code_point(deci)} "
+            f"WHEN t[1:1] = '&' AND length(t) > 1 THEN coalesce(map_extract_value({full}, rtrim(substr(t, 2), ';')), "
+            f"map_extract_value({short}, {start}) || substr(t, length({start}) + 2), t) ELSE t END), '') ELSE {x} END")
 
 
 def html_text_sql(x: str) -> str:
-    y = f"regexp_replace({x}, {q(COMMENT_PATTERN)}, '', 'g')"
-    y = f"regexp_replace({y}, {q(SCRIPT_PATTERN)}, '', 'g')"
-    y = f"regexp_replace({y}, {q(STYLE_PATTERN)}, '', 'g')"
-    y = f"regexp_replace({y}, {q(TAG_PATTERN)}, '', 'g')"
-    return decode_refs(y)
+    return decode_refs(f"regexp_replace({x}, {q(ANY_MARKUP)}, '', 'g')")
 
 
 def html_title_sql(x: str) -> str:
-    raw = f"regexp_extract(regexp_replace({x}, {q(COMMENT_PATTERN)}, '', 'g'), {q(TITLE_PATTERN)}, 1)"
-    return decode_refs(raw)
+    title = f"regexp_extract(regexp_replace({x}, {q(HIDDEN)}, '', 'g'), {q(TITLE_ELEMENT)}, 1)"
+    return decode_refs(f"regexp_replace({title}, {q(ANY_MARKUP)}, '', 'g')")
 
 
 def normalise(x: str) -> str:
@@ -54,11 +78,11 @@ def newlines(x: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+    return f"regexp_replace({x}, {q(STRIP)}, '', 'g')"
 
 
 def token_count(x: str) -> str:
-    return f"len(regexp_extract_all({x}, {q(TOKEN_PATTERN)}))"
+    return f"len(regexp_extract_all({x}, {q(TOKENS)}))"
 
 
 def stable_id(*parts: str) -> str:
@@ -67,7 +91,7 @@ def stable_id(*parts: str) -> str:
 
 
 def hash_codes(x: str, dim: int = 64) -> str:
-    return (f"list_transform(list_transform(regexp_extract_all(lower({x}), {q(WORD_PATTERN)}), lambda w: md5(w)), "
+    return (f"list_transform(list_transform(regexp_extract_all(lower({x}), {q(WORDS)}), lambda w: md5(w)), "
             f"lambda h: (('0x' || substr(h, 1, 8))::BIGINT % {dim}) + "
             f"CASE WHEN ('0x' || substr(h, 9, 1))::INTEGER >= 8 THEN {dim} ELSE 0 END)")
 
@@ -234,21 +258,10 @@ text_scores AS (
 text_top AS (
   SELECT * FROM (
     SELECT query_set_id, id, score, round(score, 6) AS similarity,
-           CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 6) DESC, id) AS INTEGER) AS rank
+           CAST(row_number() OVER (PARTITION BY query_set_id ORDER BY round(score, 12) DESC, id) AS INTEGER) AS rank
     FROM text_scores WHERE NOT isnan(score) AND score >= {threshold})
   WHERE rank <= {k}),
 text_results AS (
   SELECT t.query_set_id, t.rank, t.id, t.similarity, s.content, s.meta_source, s.meta_title, s.meta_path,
          s.meta_page, 'cosine_similarity' AS similarity_function, 'feature-hash-64' AS embedding_model
   FROM text_top t JOIN store s ON t.id = s.id)"""
-
-
-def label_scores_cte(threshold: float | None) -> str:
-    cond = "" if threshold is None else f" WHERE NOT isnan(score) AND score >= {threshold}"
-    return f"""
-vecs AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-label_pairs AS (
-  SELECT d.vec_id, CAST(q.label AS BIGINT) AS query_set_id, {dot("d.e", "q.e")} AS s
-  FROM vecs d, vecs q),
-label_scores AS (
-  SELECT * FROM (SELECT vec_id, query_set_id, max(s) AS score FROM label_pairs GROUP BY vec_id, query_set_id){cond})"""

@@ -184,12 +184,18 @@ def load_pdf(files: DataFrame, extractor: PageExtractor = form_feed_pages) -> Da
 
 def load_corpus(files: DataFrame, extractor: PageExtractor = form_feed_pages,
                 include_pdf: bool = True) -> DataFrame:
-    parts = [load_text(files), load_html(files)]
+    """All loaders over the files: txt and html in one pass, since they are
+    expressions of a row; pdf files in another one that sees only them."""
+    plain = files.where(F.col("format").isin("txt", "html"))
+    is_txt, body = F.col("format") == "txt", universal_newlines(_text_content(plain))
+    null = F.lit(None).cast("string")
+    out = plain.select(
+        "subject", "path", "format", F.lit(None).cast("int").alias("page"),
+        F.when(is_txt, body).otherwise(html_text(body)).alias("page_content"),
+        _metadata(F.when(is_txt, F.lit(TXT_SOURCE)).otherwise(F.col("path")), F.when(~is_txt, html_title(body)),
+                  F.when(is_txt, F.col("path")).otherwise(null), F.lit(None)).alias("metadata"))
     if include_pdf:
-        parts.append(load_pdf(files, extractor))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+        out = out.unionByName(load_pdf(files, extractor))
     return out.select(*DOCUMENT_COLUMNS)
 
 
