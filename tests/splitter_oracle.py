@@ -1,78 +1,54 @@
-"""Plain-Python statement of the recursive character splitter, used only by tests.
+"""Chunks of a text as windows, by the window rules of SURVEY section 2.9.
 
-Written from the published algorithm: try separators in order, split keeping
-the separator at the start of the next piece, merge short pieces greedily
-with the size/overlap rule, recurse into pieces that are too long.
+The text is cut before every space into pieces.  A chunk is a window [s, e)
+over whole pieces, or, inside a piece that fills a window alone, over
+characters.  Windows are stripped (Unicode white space) and empty ones left out.
 """
 
 from __future__ import annotations
 
-import re
-
-SEPARATORS = ["\n\n", "\n", " ", ""]
-
-
-def _split_keep(text: str, sep: str) -> list[str]:
-    if not sep:
-        return [c for c in text]
-    parts = re.split(f"({re.escape(sep)})", text)
-    out = [parts[0]] + [parts[i] + parts[i + 1] for i in range(1, len(parts) - 1, 2)]
-    return [p for p in out if p != ""]
-
-
-def _join(docs: list[str]) -> str | None:
-    t = "".join(docs).strip()
-    return t or None
-
-
-def _merge(pieces: list[str], size: int, overlap: int) -> list[str]:
-    out: list[str] = []
-    cur: list[str] = []
-    total = 0
-    for p in pieces:
-        ln = len(p)
-        if total + ln > size:
-            if cur:
-                d = _join(cur)
-                if d is not None:
-                    out.append(d)
-                while total > overlap or (total + ln > size and total > 0):
-                    total -= len(cur[0])
-                    cur = cur[1:]
-        cur.append(p)
-        total += ln
-    d = _join(cur)
-    if d is not None:
-        out.append(d)
-    return out
-
-
-def split_text(text: str, size: int, overlap: int, separators=None) -> list[str]:
-    separators = SEPARATORS if separators is None else separators
-    sep = separators[-1]
-    rest: list[str] = []
-    for i, s in enumerate(separators):
-        if s == "":
-            sep = s
-            break
-        if s in text:
-            sep = s
-            rest = separators[i + 1:]
-            break
-    pieces = _split_keep(text, sep)
-    final: list[str] = []
-    good: list[str] = []
-    for p in pieces:
-        if len(p) < size:
-            good.append(p)
-        else:
-            if good:
-                final.extend(_merge(good, size, overlap))
-                good = []
-            if not rest:
-                final.append(p)
-            else:
-                final.extend(split_text(p, size, overlap, rest))
-    if good:
-        final.extend(_merge(good, size, overlap))
-    return final
+from bisect import bisect_left
+from collections.abc import Iterator
+
+
+def character_windows(begin: int, end: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Rule 4: windows of ``size`` that advance by size - overlap (1 at least)."""
+    step = max(1, size - overlap)
+    at = begin
+    while at + size < end:
+        yield at, at + size
+        at += step
+    yield at, end
+
+
+def run_windows(bounds: list[int], size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Rule 3 over a run of short pieces; ``bounds`` are their starts and the last end."""
+    s = bounds[0]
+    for e, after in zip(bounds[1:], bounds[2:] + [None]):
+        if after is None:
+            yield s, e
+        elif after - s > size:
+            yield s, e
+            s = min(e, bounds[bisect_left(bounds, max(s, e - overlap, after - size))])
+
+
+def windows(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    cuts = sorted({0, len(text), *(i for i, c in enumerate(text) if c == " ")})
+    run: list[int] = []
+    for begin, end in zip(cuts, cuts[1:]):
+        if end - begin < size:
+            run = (run or [begin]) + [end]
+            continue
+        if run:
+            yield from run_windows(run, size, overlap)
+            run = []
+        yield from character_windows(begin, end, size, overlap)
+    if run:
+        yield from run_windows(run, size, overlap)
+
+
+def split_text(text: str, size: int, overlap: int) -> list[str]:
+    if size == 1:                                   # rule 5
+        return list(text)
+    stripped = (text[s:e].strip() for s, e in windows(text, size, overlap))
+    return [c for c in stripped if c]

@@ -85,11 +85,11 @@ def test_blocked_query_side_is_exact(spark):
     qs = emb.select(F.col("label").cast("bigint").alias("query_set_id"), F.col("vec_id").alias("query_id"), "embedding")
     cols = ["query_set_id", "rank", "vec_id", "similarity"]
     whole = rank_top_k(score_sets(emb, qs, k=5, threshold=0.15, id_col="vec_id", dim=64), 5, id_col="vec_id")
-    blocked = rank_top_k(score_sets(emb, qs, k=5, threshold=0.15, id_col="vec_id", dim=64, max_vectors=60),
+    blocked = rank_top_k(score_sets(emb, qs, k=5, threshold=0.15, id_col="vec_id", dim=64, block_bytes=60 * 64 * 8),
                          5, id_col="vec_id")
     assert sorted(whole.select(*cols).collect()) == sorted(blocked.select(*cols).collect())
     a = score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64)
-    b = score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64, max_vectors=60)
+    b = score_sets_native(emb, qs, threshold=0.15, id_col="vec_id", dim=64, block_bytes=60 * 64 * 8)
     key = ["query_set_id", "vec_id", "score"]
     assert sorted(a.select(*key).collect()) == sorted(b.select(*key).collect())
 
