@@ -16,12 +16,16 @@ from vellum.session import ensure_checkpoint_dir, read_table, ship_package
 __all__ = ["read_table", "prepare", "materialise", "slices", "spread_small", "utf8", "held_out"]
 
 #: Bytes of text that a Python task holds as NumPy arrays at a time (one text may be longer).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Bytes of a record batch between Spark and a Python task (one row may be larger).
+BATCH_BYTES = 8 << 20
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder set (the session's own setting comes first) and the
-    package known to the Python workers."""
+    """Checkpoint folder set (the session's own setting comes first), the
+    package known to the Python workers, and record batches bounded in bytes:
+    texts vary in length too much for a bound on rows."""
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
     return spark
 

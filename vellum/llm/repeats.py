@@ -40,7 +40,7 @@ from vellum.llm.words import _BASE, _BYTE, _INVERSE, _powers, _room, mix64
 
 LENGTH, SPAN, SEED = 400, 192, 16
 GROUP = 4096
-CHUNK = 4 << 20            # bytes that are held as arrays at a time
+CHUNK = 2 << 20            # bytes that are held as arrays at a time
 _PLACE_BITS = 24
 
 
