@@ -19,6 +19,7 @@ Unknown names are kept as written.
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -49,7 +50,8 @@ def c1_characters() -> dict[int, str]:
 
 
 def _map(pairs) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    """A constant map: one literal, which the optimizer folds, instead of one for each entry."""
+    return F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
 
 
 def _character(cp: Column) -> Column:
@@ -57,7 +59,7 @@ def _character(cp: Column) -> Column:
     # UTF-32 big-endian bytes of the code point, decoded
     plain = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
     bad = cp.isNull() | (cp == 0) | (cp > 0x10FFFF) | cp.between(0xD800, 0xDFFF)
-    c1 = F.element_at(_map(sorted(c1_characters().items())), cp.cast("int"))
+    c1 = F.try_element_at(_map((str(n), c) for n, c in c1_characters().items()), cp.cast("string"))
     return F.when(bad, F.lit(REPLACEMENT)).when(cp.between(0x80, 0x9F), F.coalesce(c1, plain)).otherwise(plain)
 
 
