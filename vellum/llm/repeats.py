@@ -228,7 +228,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, span: int = SPAN, grou
     """(rid, text) -> (rid, spans): byte spans [start, stop) covered by strings of ``length``
     bytes that also start elsewhere.  Rows with equal rids have equal texts."""
     found = phrases(rows, length, span)
-    twice = found.groupBy("phrase").count().where("count > 1").select("phrase")
+    # written first, so that the join reads two plain shuffles and a hot phrase's
+    # partition can be split (an aggregate below a join forbids that)
+    twice = materialise(found.groupBy("phrase").count().where("count > 1").select("phrase"))
     found = materialise(found.join(twice, "phrase"))
     # equal extents are settled; of each one copy stays as a witness
     extents = materialise(found.groupBy("phrase", "extent").agg(
