@@ -169,7 +169,10 @@ def link_components(bands: DataFrame, sizes: DataFrame, sets_of: Callable[[DataF
     ``star_filter``: drops pairs (a, b) that cannot be similar enough.
     """
     tops = bands.groupBy("key").agg(F.min("id").alias("top"), F.max("id").alias("_last")).where("top <> _last")
-    shared = materialise(bands.join(tops.select("key", "top"), "key").distinct())
+    # both sides of this join are plain shuffles, and nothing after it needs its
+    # partitioning: Spark can split the partition of a hot key
+    shared = materialise(bands.join(materialise(tops.select("key", "top")), "key"))
+    shared = materialise(shared.distinct())
     stars = shared.where("id <> top").select(F.col("top").alias("a"), F.col("id").alias("b")).distinct()
     stars = materialise(star_filter(stars))
     ids = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
