@@ -93,3 +93,45 @@ def test_splitting_is_by_lines_and_keeps_every_byte():
         assert (t or "").encode().endswith(raw)
         if not any(len(x.split()) > LONG for x in (t or "").split("\n")):
             assert len(own) == sum(bool(x.split()) for x in (t or "").split("\n"))
+
+
+def test_passages_within_lines_of_every_length(spark):
+    rng = random.Random(31)
+    fill = lambda n: [str(rng.random()) for _ in range(n)]
+    rows, expected, doc_id = [], {}, 0
+    for around in (0, 7, 40, 300):
+        for n in (51, 60, 80):
+            passage = fill(n)
+            for copy in range(3):
+                head = fill(around + copy)
+                rows.append((doc_id, " ".join(head + passage + fill(around + 2 * copy + 1))))
+                expected[doc_id] = (len(head), n) if copy else None
+                doc_id += 1
+    docs = spark.createDataFrame(rows, SCHEMA)
+    whole = {(r.doc_id, x.place) for r in substring_dedup(docs).collect() for x in r.removed}
+    got = {r.doc_id: [(x.begin, x.words, x.first_doc_id) for x in r.passages] for r in substring_dedup(docs).collect()}
+    assert got == {i: [(*e, i - i % 3)] if e else [] for i, e in expected.items()}
+    left = {r.doc_id: words(r.text) for r in stage_substrings(spark, docs, "").collect()}
+    for i, t in rows:
+        if expected[i] is None:
+            assert left[i] == words(t)
+        else:
+            a, n = expected[i]
+            rest = words(t)[:a] + words(t)[a + n:]
+            assert left.get(i, []) == rest or any(d == i for d, _ in whole) and set(left.get(i, [])) <= set(rest)
+
+
+def test_passages_keep_an_earlier_copy(spark):
+    rng = random.Random(32)
+    fill = lambda n: [str(rng.random()) for _ in range(n)]
+    near, tail = fill(140), fill(55)
+    other = near[:70] + ["edit"] + near[71:]
+    rows = [(0, " ".join(near)), (1, " ".join(other)), (2, " ".join(fill(90) + other[40:100] + fill(90))),
+            (3, " ".join(["a"] * 120)), (4, " ".join(fill(30) + tail)), (5, " ".join(tail + fill(70))), (None, " ".join(fill(3) + tail))]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = {r.doc_id: words(r.text) for r in stage_substrings(spark, docs, "").collect()}
+    text = [w for x in left.values() for w in x]
+    assert {w for _, t in rows for w in words(t)} == set(text)      # every word is still somewhere
+    assert sum(text.count(w) for w in tail) == len(tail) and left[None][-1] == tail[-1]
+    assert 1 not in left and "edit" in left[2]       # a near copy that goes is no copy to keep
+    assert left[3] == ["a"] * 50
