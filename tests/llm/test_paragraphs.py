@@ -135,3 +135,31 @@ def test_passages_keep_an_earlier_copy(spark):
     assert sum(text.count(w) for w in tail) == len(tail) and left[None][-1] == tail[-1]
     assert 1 not in left and "edit" in left[2]       # a near copy that goes is no copy to keep
     assert left[3] == ["a"] * 50
+
+
+def test_short_lines(spark):
+    rng = random.Random(33)
+    fill = lambda n: [str(rng.random()) for _ in range(n)]
+
+    def wrapped(w, least, most):
+        lines = []
+        while w:
+            n = rng.randint(least, most)
+            lines, w = [*lines, " ".join(w[:n])], w[n:]
+        return "\n".join(lines)
+
+    rows, rest = [], {}
+    for n in (60, 600):
+        for least, most in ((11, 11), (1, 11), (1, 4)):
+            passage = fill(n)
+            for copy in range(3):
+                own = fill(6)
+                rest[len(rows)] = own + (passage if copy == 0 else [])
+                rows.append((len(rows), " ".join(own) + "\n" + wrapped(passage, least, most)))
+    line = fill(5)
+    for _ in range(3):
+        own = fill(8)
+        rest[len(rows)] = own + (line if len(rows) == 18 else [])
+        rows.append((len(rows), " ".join(own) + "\n" + " ".join(line)))
+    got = {r.doc_id: words(r.text) for r in stage_substrings(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert got == rest

@@ -4,7 +4,8 @@ Paragraphs are the lines of a text.  A line of more than ``LONG`` words is cut
 further, before each word whose hash is the smallest among the ``REACH`` words
 on either side; such cuts depend on the words near them only, so a passage
 inside two different long lines is cut alike.  Paragraphs of fewer than
-``MIN_WORDS`` words are left alone.
+``MIN_WORDS`` words, which have no shingle, are compared only as part of the
+passages below.
 
 Each distinct paragraph gets ``BANDS`` keys of ``ROWS`` minimum hashes of its
 five-word shingles.  Paragraphs that share a key are compared on their full
@@ -42,7 +43,7 @@ from vellum.llm.repeats import smallest_of_next
 from vellum.llm.words import _STEP, Words, _powers, _room, mix64, not_space, window_hashes
 
 WIDTH, SHARE = 5, 80
-MIN_WORDS = 12
+MIN_WORDS = WIDTH
 LONG, REACH = 150, 12
 BANDS, ROWS = 8, 3
 PASSAGE, SEED = 50, 13
@@ -163,11 +164,14 @@ def paragraph_table(rows: DataFrame) -> DataFrame:
             words, offs = chosen_words(p, which)
             shingles, at = window_hashes(words, offs, WIDTH)
             keys = keys_of(shingles, at).view(np.int64)
+            # up to three shingles: only equal sets are similar enough, and these agree in every key
+            n_keys = np.where(np.diff(at) <= 3, 1, BANDS)
+            keys, ends = keys[np.arange(BANDS) < n_keys[:, None]], np.concatenate([[0], np.cumsum(n_keys)])
             row = pa.array(p.row[which])
             yield pa.RecordBatch.from_arrays(
                 [rb.column(0).take(row), rb.column(1).take(row), pa.array(p.index[which]),
                  pa.array(p.ids()[which].view(np.int64)), pa.array(p.n_words[which]),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1)))],
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys))],
                 ["doc_id", "tid", "place", "pid", "size", "keys"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
