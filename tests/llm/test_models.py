@@ -66,6 +66,17 @@ def test_language_stage_keeps_clean_documents(spark):
     assert {r.doc_id for r in got.collect()} == set(range(120))
 
 
+def test_language_stage_rejects_foreign_texts(spark):
+    rng = random.Random(4)
+    rows = texts(rng, 600)
+    junk = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(40))
+    # held out, so that nothing is learned from them
+    ids = [i for i in range(1000, 2000) if held(i)]
+    odd = [(i, junk("abcdefghijklmnopqrstuvwxyz" if k % 2 else "абвгдежзиклмнопрст"), "en") for k, i in enumerate(ids[:40])]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in L.stage_language(spark, docs, "").collect()} == set(range(600))
+
+
 BAD = ["scum", "loser", "worthless"]
 
 

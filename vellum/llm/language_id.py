@@ -21,7 +21,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,9 @@ SCALE = 1 << 16        # training profiles are scaled to this length and rounded
 PIECE = 1 << 20        # characters of a text that are held as arrays at a time
 REMEMBERED = 1 << 16   # n-gram vectors that a worker keeps
 UNKNOWN = "und"
-#: The pipeline's stage rejects a text whose best score is below this.
-REJECT_BELOW = 0.5
+#: The pipeline's stage rejects a text whose cosine with its language's prototype is below
+#: this part of a low quantile of the cosines of training texts of that language and length.
+REJECT_BELOW, QUANTILE, ENOUGH = 0.6, 0.05, 10
 
 
 @functools.lru_cache(1)
@@ -135,44 +136,52 @@ class Judge:
         self.langs = langs
         norms = np.linalg.norm(prototypes, axis=1, keepdims=True)
         unit = prototypes / np.where(norms > 0, norms, 1)
+        self.unit = unit
         self.mean = unit.mean(axis=0) if len(langs) > 1 else np.zeros(DIM)
         rest = unit - self.mean
         norms = np.linalg.norm(rest, axis=1, keepdims=True)
         self.rest = rest / np.where(norms > 0, norms, 1)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
+        return self.with_fit(text)[:2]
+
+    def with_fit(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score, and the cosine with the language's prototype itself."""
         v = _profiles().of(text) if text and self.langs else None
         if v is None:
-            return UNKNOWN, 0.0
-        v = v / (np.linalg.norm(v) or 1) - self.mean
+            return UNKNOWN, 0.0, 0.0
+        whole = v / (np.linalg.norm(v) or 1)
+        v = whole - self.mean
         cosines = self.rest @ (v / (np.linalg.norm(v) or 1))
         best = int(np.argmax(cosines))         # ties: the first language by code point
-        return self.langs[best], float(np.clip((1 + cosines[best]) / 2, 0, 1))
+        return self.langs[best], float(np.clip((1 + cosines[best]) / 2, 0, 1)), float(self.unit[best] @ whole)
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: str = "text",
-            pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+            pred_col: str = "lang_pred", score_col: str = "score", fit_col: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1: half of one plus the cosine).
 
     Null, empty and letterless texts, and every text if nothing could be
     learned, get ``und`` and score 0.  Each row is judged by its text alone;
     all columns are kept, and columns that have the results' names are
-    replaced.
+    replaced.  ``fit_col``, if given, gets the cosine with the prototype.
     """
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)    # one vector per language
-    docs = docs.drop(pred_col, score_col)
+    added = [pred_col, score_col, *([fit_col] if fit_col else [])]
+    docs = docs.drop(*added)
     text_at = docs.columns.index(text_col)
 
     def run(batches):
         judge = Judge(*shared.value)
         for rb in batches:
-            got = [judge(t) for t in rb.column(text_at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*rb.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())],
-                [*rb.schema.names, pred_col, score_col])
+            got = [judge.with_fit(t) for t in rb.column(text_at).to_pylist()]
+            results = [pa.array([x[k] for x in got], pa.float64() if k else pa.string()) for k in range(len(added))]
+            yield pa.RecordBatch.from_arrays([*rb.columns, *results], [*rb.schema.names, *added])
 
-    schema = T.StructType(list(docs.schema.fields)).add(pred_col, "string").add(score_col, "double")
+    schema = T.StructType(list(docs.schema.fields))
+    for k, name in enumerate(added):
+        schema = schema.add(name, "double" if k else "string")
     return spread_small(docs).mapInArrow(run, schema)
 
 
@@ -182,9 +191,37 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), model).drop("text")
 
 
+def _length(text) -> Column:
+    """Binary order of magnitude of a text's length."""
+    return F.floor(F.log2(F.length(text))).cast("int")
+
+
+def least_fits(training: DataFrame, model: tuple[list[str], np.ndarray]) -> dict[str, dict[int, float]]:
+    """Per language and length, the least cosine with the prototype that is accepted."""
+    marked = predict(training, model, pred_col="_pred", score_col="_score", fit_col="_fit")
+    # a row for each language and length
+    got = (marked.where(F.col("_pred") == F.col("lang").cast("string")).groupBy("lang", _length("text").alias("size"))
+           .agg(F.percentile_approx("_fit", QUANTILE, 10_000).alias("fit"), F.count("*").alias("n"))
+           .where(F.col("n") >= ENOUGH).collect())
+    out: dict[str, dict[int, float]] = {}
+    for r in got:
+        out.setdefault(str(r["lang"]), {})[r["size"]] = REJECT_BELOW * r["fit"]
+    return out
+
+
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose text has letters and fits a learned language."""
+    """Keeps the documents whose text has letters and fits a learned language.
+
+    A text is held against training texts of its length, or else of the next
+    smaller length that enough of them have; one shorter than all these stays."""
     names = docs.columns
-    model = learn(docs.where(~held_out(F.col("doc_id"))))
-    marked = predict(docs, model, pred_col="_lang_pred", score_col="_lang_score")
-    return marked.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= REJECT_BELOW)).select(*names)
+    training = docs.where(~held_out(F.col("doc_id")))
+    model = learn(training)
+    least = F.lit(-1.0)
+    limits = least_fits(training.select("text", "lang"), model)
+    for lang in sorted(limits):
+        for size in sorted(limits[lang]):
+            here = (F.col("_lang_pred") == lang) & (_length("text") >= size)
+            least = F.when(here, F.lit(limits[lang][size])).otherwise(least)
+    marked = predict(docs, model, pred_col="_lang_pred", score_col="_lang_score", fit_col="_lang_fit")
+    return marked.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_fit") >= least)).select(*names)
