@@ -1,7 +1,7 @@
 import numpy as np
 from helpers import clashing, groups
 
-from vellum.llm.caps import near_vectors
+from vellum.llm.caps import COSINE, _codes, near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -50,3 +50,17 @@ def test_large_group_and_empty(spark):
     got = near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {(r.n_links, r.component_id) for r in got} == {(1499, 0)}
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pairs_meet_under_labels_of_every_size():
+    rng = np.random.default_rng(1)
+    a, r = (rng.standard_normal((1500, 64)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    r -= (r * a).sum(axis=1, keepdims=True) * a
+    b = COSINE * a + np.sqrt(1 - COSINE**2) * r / np.linalg.norm(r, axis=1, keepdims=True)
+    for n in (100_000, 3_000_000, 10_000_000):
+        shared = np.zeros(len(a), dtype=int)
+        for code in _codes(64, n, COSINE):
+            one, two = (set(zip(*(x.tolist() for x in code.caps_of(v)))) for v in (a, b))
+            np.add.at(shared, [row for row, _ in one & two], 1)
+        assert shared.min() >= 5
