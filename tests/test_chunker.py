@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import SF0001
+from sample_tables import SF0001
 from splitter_oracle import split_text
 from vellum.operators.chunker import check_chunk_params, chunk_array, split_documents
 from vellum.plans import catalog

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF0001
+from sample_tables import SF001, SF0001
 from vellum.operators.retrieve import late_materialise, rank_top_k, score_sets, score_sets_native, top_k_single
 from vellum.plans import catalog
 from vellum.session import read_table
