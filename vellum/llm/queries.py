@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vellum.llm import caps, chat_format, decontaminate, language_id, minhash, mixing, paragraphs, repeats, token_counts, toxicity
+from vellum.llm import (caps, chat_format, decontaminate, filter_audit, language_id, minhash, mixing, paragraphs, repeats,
+                        token_counts, toxicity)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,8 +16,10 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
     "op10_repeats": repeats.op10_repeats,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 
 ORACLES = {
     "op9_chat_formatting": chat_format.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
 }
