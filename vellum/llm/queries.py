@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vellum.llm import (caps, chat_format, decontaminate, filter_audit, language_id, minhash, mixing, paragraphs, personal_data,
-                        repeats, token_counts, toxicity)
+from vellum.llm import (caps, chat_format, conversation_repair, decontaminate, filter_audit, language_id, minhash,
+                        mixing, paragraphs, personal_data, repeats, token_counts, toxicity)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_repeats": repeats.op10_repeats,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_personal_data": personal_data.op12_personal_data,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLES = {
