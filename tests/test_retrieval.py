@@ -1,6 +1,10 @@
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+import vellum.operators.retrieve as retrieve_module
 from sample_tables import SF001, SF0001
+from vellum.operators import query_blocks
 from vellum.operators.retrieve import late_materialise, rank_top_k, score_sets, score_sets_native, top_k_single
 from vellum.plans import catalog
 from vellum.session import read_table
@@ -109,3 +113,82 @@ def test_chunking_stays_in_the_jvm(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
     # the only exchange is the spread of a small input over the cores
     assert plan.count("Exchange") <= 1
+
+
+def ten_blocks(spark):
+    rng = np.random.default_rng(4)
+    db = spark.createDataFrame([(f"{i:05d}", rng.standard_normal(16).tolist()) for i in range(3000)],
+                               "id string, embedding array<double>").repartition(3)
+    qs = spark.createDataFrame([(max(0, s - 30), s, rng.standard_normal(16).tolist()) for s in range(200)],
+                               "query_set_id long, query_id long, embedding array<double>")
+    return db, qs, 20 * 16 * 8
+
+
+def test_query_side_stays_off_the_driver(spark, monkeypatch, tmp_path):
+    """Ten query blocks: one scan of the store, no vector collected or broadcast."""
+    from pyspark import SparkContext
+    db, qs, block_bytes = ten_blocks(spark)
+    db.write.parquet(str(tmp_path / "db"))
+    db = spark.read.parquet(str(tmp_path / "db"))
+    written = []
+    real = query_blocks.write_query_blocks
+    monkeypatch.setattr(retrieve_module, "write_query_blocks", lambda *a: written.append(real(*a)) or written[-1])
+
+    def refuse(*_, **__):
+        raise AssertionError("the query side went through the driver")
+
+    frame = type(db)
+    collect = frame.collect
+
+    def counts_only(df):
+        assert not any(t.startswith("array") for _, t in df.dtypes)
+        return collect(df)
+
+    monkeypatch.setattr(frame, "collect", counts_only)
+    for owner, name in ((frame, "toArrow"), (frame, "toPandas"), (frame, "toLocalIterator"), (SparkContext, "broadcast")):
+        monkeypatch.setattr(owner, name, refuse)
+    scores = score_sets(db, qs, k=5, threshold=0.1, dim=16, block_bytes=block_bytes)
+    monkeypatch.undo()
+    assert len(written[0].files) == 10
+    assert max(len(b.matrix) for b in written[0].read()) < 40
+    plan = plan_of(scores)
+    assert plan.count("FileScan parquet") + plan.count("Scan parquet") >= 1
+    assert scores._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert "Broadcast" not in plan and "Cartesian" not in plan
+
+
+def test_blocks_give_what_numpy_gives(spark):
+    """Sets of one and of 31 phrasings, which several blocks share; with and without k."""
+    db, qs, block_bytes = ten_blocks(spark)
+    x = {r.id: np.array(r.embedding) for r in db.collect()}
+    q = {}
+    for r in qs.collect():
+        q.setdefault(r.query_set_id, []).append(np.array(r.embedding))
+    best = {(s, i): max(float(v @ w) for w in m) for s, m in q.items() for i, v in x.items()}
+    for bytes_ in (block_bytes, None):
+        every = {(r.query_set_id, r.id): r.score for r in
+                 score_sets(db, qs, k=None, threshold=2.0, dim=16, block_bytes=bytes_).collect()}
+        assert every.keys() == {p for p, v in best.items() if v >= 2.0}
+        assert all(abs(v - best[p]) < 1e-9 for p, v in every.items())
+        top = rank_top_k(score_sets(db, qs, k=3, threshold=0.1, dim=16, block_bytes=bytes_), 3).collect()
+        want = {(s, n + 1): i for s in q for n, i in enumerate(sorted(x, key=lambda i: (-round(best[s, i], 12), i))[:3])}
+        assert {(r.query_set_id, r["rank"]): r.id for r in top} == want
+
+
+def test_query_side_edges(spark):
+    db, qs, _ = ten_blocks(spark)
+    assert score_sets(db, qs.limit(0), k=3, threshold=0.1, dim=16).count() == 0
+    assert score_sets(db, qs, k=0, threshold=0.1, dim=16).count() == 0
+    assert score_sets(db.limit(0), qs, k=3, threshold=0.1, dim=16).count() == 0
+    unset = qs.withColumn("query_set_id", F.when(F.col("query_id") > 50, F.col("query_set_id")))
+    assert {r[0] for r in score_sets(db, unset, k=1, threshold=0.1, dim=16).select("query_set_id").collect()} <= set(range(21, 170))
+    for bad in (qs.withColumn("embedding", F.when(F.col("query_id") > 0, F.col("embedding"))),
+                qs.withColumn("embedding", F.slice("embedding", 1, F.lit(16) - (F.col("query_id") % 2).cast("int")))):
+        with pytest.raises(ValueError, match="inconsistent"):
+            score_sets(db, bad, k=3, threshold=0.1)
+
+
+def test_one_set_queries_leave_the_interpreted_engine(spark):
+    for name in ("max_over_queries", "threshold_filter"):
+        plan = catalog.queries()[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "transform(" not in plan and "aggregate(" not in plan

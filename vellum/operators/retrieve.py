@@ -8,14 +8,13 @@ and the first ``k`` kept.  Scores are compared to 12 places, which is what a
 double keeps of a sum whatever its order; the reported similarity is rounded
 to 6 places for display only.
 
-Many query sets run in one job.  The query side is small and its size is
-split into blocks by bytes before it is shipped to the tasks; the chunk
-side is never shuffled whole:
-
-* ``score_sets`` (default engine) multiplies each Arrow batch of chunk
-  vectors with the query matrix (NumPy/BLAS), takes the per-set maximum,
-  applies the threshold and keeps a running per-set top-k by the total order
-  (score, id), so at most ``k x sets`` rows per task leave it;
+Many query sets run in one job, and the chunk side is never shuffled whole:
+
+* ``score_sets`` (default engine) is a block product of both sides: tasks write the
+  query side as block files (``query_blocks``), and each task that reads the store takes
+  tiles of its vectors through one block at a time (NumPy/BLAS), takes the
+  per-set maximum, applies the threshold and keeps the k first rows per set by
+  the total order (score, id);
 * ``score_sets_native`` computes the same with higher-order functions in the
   JVM against the query sets packed by a scalar subquery (no join).
 
@@ -30,10 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.vectors import dot
+from vellum.operators.query_blocks import Block, QueryBlocks, tiles, write_query_blocks
 
 # Label of the similarity function in results; defaults.
 SIMILARITY_FUNCTION = "cosine_similarity"
@@ -42,6 +42,7 @@ DEFAULT_THRESHOLD = 0.15
 
 QUERY_BLOCK_BYTES = 64 << 20     # query vectors shipped to a task at a time
 TILE_BYTES = 32 << 20            # scores held by a task at a time
+STORE_TILE_BYTES = 64 << 20      # store vectors that a task takes through all query blocks
 RANK_PLACES = 12                 # scores that agree so far are ties
 
 
@@ -78,22 +79,6 @@ def _combine_blocks(parts: list[DataFrame], id_col: str, set_col: str) -> DataFr
     return out.groupBy(set_col, id_col).agg(F.max("score").alias("score"))
 
 
-def _query_sets_local(queries: DataFrame, set_col: str, vec_col: str, dim: int | None):
-    # one block, bounded in bytes; through Arrow, without a Python object per number
-    rows = (queries.select(F.col(set_col).cast("bigint").alias("s"), F.col(vec_col).cast("array<double>").alias("v"))
-            .orderBy("s").toArrow())
-    if not rows.num_rows:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros((0, dim or 0))
-    vectors = rows["v"].combine_chunks()
-    sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), -1))
-    if (sizes != sizes[0]).any() or (dim is not None and sizes[0] != dim):
-        raise ValueError("query vectors have inconsistent dimensions")
-    mat = np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(sizes), -1)
-    sets = np.asarray(rows["s"].combine_chunks())
-    starts = np.r_[0, np.nonzero(sets[1:] != sets[:-1])[0] + 1]
-    return sets[starts], starts, mat
-
-
 def _prune(set_idx: np.ndarray, score: np.ndarray, ids: pa.Array, k: int):
     """Keep the k first rows per set by (score descending, id ascending)."""
     if len(score) == 0:
@@ -107,74 +92,95 @@ def _prune(set_idx: np.ndarray, score: np.ndarray, ids: pa.Array, k: int):
     return set_idx[idx], score[idx], ids.take(pa.array(idx))
 
 
-def score_sets(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
+def score_sets(db: DataFrame, queries: DataFrame, *, k: int | None, threshold: float,
                id_col: str = "id", vec_col: str = "embedding",
                set_col: str = "query_set_id", dim: int | None = None,
                block_bytes: int | None = None) -> DataFrame:
     """Candidate rows ``(query_set_id, <id_col>, score)`` via Arrow + BLAS.
 
-    Every row that can be in a set's top-k is among the candidates: per
-    block of query vectors, a chunk that wins globally is within the block's
-    top-k where its maximum is reached, so per-block top-k followed by the
-    maximum over blocks loses nothing.
-    """
-    check_top_k(k)
-    parts = [_score_block(db, qb, k=k, threshold=threshold, id_col=id_col, vec_col=vec_col,
-                          set_col=set_col, dim=dim)
-             for qb in query_blocks(queries, set_col, "embedding", block_bytes)]
-    return _combine_blocks(parts, id_col, set_col)
+    The store is read once, whatever the number of query blocks: a task takes
+    a tile of store vectors and multiplies it with one block after the other.
+    With one block, the block is held and the store streams by.
 
-
-def _score_block(db: DataFrame, queries: DataFrame, *, k: int, threshold: float,
-                 id_col: str, vec_col: str, set_col: str, dim: int | None) -> DataFrame:
-    spark: SparkSession = db.sparkSession
-    set_ids, starts, mat = _query_sets_local(queries, set_col, vec_col, dim)
+    With ``k``, every row that can be in a set's top-k is among the candidates:
+    a chunk that wins globally is within the top-k of the block in which its maximum is
+    reached, so per-block top-k followed by the maximum over blocks loses
+    nothing.  ``k=None`` gives all rows that pass, without any top-k state.
+    """
+    if k is not None:
+        check_top_k(k)
     id_type = dict(db.select(id_col).dtypes)[id_col]
     schema = f"{set_col} bigint, `{id_col}` {id_type}, score double"
-    if len(set_ids) == 0 or k == 0:
-        return spark.createDataFrame([], schema)
-    bc = spark.sparkContext.broadcast((set_ids, starts, mat))
-    d = mat.shape[1]
-
+    blocks = write_query_blocks(queries, set_col, "embedding", dim, block_bytes or QUERY_BLOCK_BYTES)
+    if not blocks or k == 0:
+        return db.sparkSession.createDataFrame([], schema)
+    src = db.select(F.col(id_col), F.col(vec_col).cast("array<double>").alias(vec_col))
+    scores = src.mapInArrow(_score_task(blocks, k, threshold, [set_col, id_col, "score"]), schema)
+    if not blocks.single:
+        scores = scores.groupBy(set_col, id_col).agg(F.max("score").alias("score"))
+    return scores
+
+
+def _passing(x: np.ndarray, ids: pa.Array, block: Block, threshold: float) -> Iterator[tuple]:
+    """(places of sets, scores, ids) of the pairs that pass, tile by tile of scores."""
+    turned = np.ascontiguousarray(block.matrix.T)
+    step = max(1, TILE_BYTES // (8 * turned.shape[1]))
+    for lo in range(0, len(x), step):
+        best = np.maximum.reduceat(x[lo:lo + step] @ turned, block.starts, axis=1)
+        with np.errstate(invalid="ignore"):
+            rows, sets = np.nonzero(best >= threshold)
+        if len(rows):
+            yield sets.astype(np.int64), best[rows, sets], ids.take(pa.array(rows + lo))
+
+
+class _Candidates:
+    """The k first rows per set so far (all rows of the last call if k is None)."""
+
+    def __init__(self, k: int | None, block: Block):
+        self.k, self.block = k, block
+        self.sets, self.scores, self.ids = np.zeros(0, dtype=np.int64), np.zeros(0), None
+
+    def add(self, sets, scores, ids) -> None:
+        self.sets, self.scores = np.concatenate([self.sets, sets]), np.concatenate([self.scores, scores])
+        self.ids = ids if self.ids is None else pa.concat_arrays([self.ids, ids])
+        if self.k is not None and len(self.scores) > 4 * self.k * len(self.block.sets) + 4096:
+            self.prune()
+
+    def prune(self) -> None:
+        self.sets, self.scores, self.ids = _prune(self.sets, self.scores, self.ids, self.k)
+
+    def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
+        if self.ids is not None:
+            if self.k is not None:
+                self.prune()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.block.sets[self.sets], pa.int64()), self.ids, pa.array(self.scores, pa.float64())], names=names)
+        self.__init__(self.k, self.block)
+
+
+def _score_task(blocks: QueryBlocks, k: int | None, threshold: float, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sids, st, qm = bc.value
-        qt = np.ascontiguousarray(qm.T)
-        c_set = np.zeros(0, dtype=np.int64)
-        c_score = np.zeros(0)
-        c_ids = None
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids = rb.column(0)
-            vecs = rb.column(1)
-            offs = np.asarray(vecs.offsets)
-            if np.any(np.diff(offs) != d) or vecs.null_count:
-                raise ValueError(f"embedding vectors must all have {d} values")
-            x = np.asarray(vecs.values.to_numpy(zero_copy_only=False), dtype=np.float64)
-            x = x[offs[0]:offs[-1]].reshape(-1, d)
-            step = max(1, TILE_BYTES // (8 * qt.shape[1]))
-            for lo in range(0, len(x), step):
-                m = np.maximum.reduceat(x[lo:lo + step] @ qt, st, axis=1)
-                with np.errstate(invalid="ignore"):
-                    ok = m >= threshold
-                rows, sets = np.nonzero(ok)
-                if len(rows) == 0:
-                    continue
-                c_set = np.concatenate([c_set, sets.astype(np.int64)])
-                c_score = np.concatenate([c_score, m[rows, sets]])
-                new_ids = ids.take(pa.array(rows + lo))
-                c_ids = new_ids if c_ids is None else pa.concat_arrays([c_ids, new_ids])
-                if len(c_score) > 4 * k * len(sids) + 4096:
-                    c_set, c_score, c_ids = _prune(c_set, c_score, c_ids, k)
-        if c_ids is None:
+        if blocks.single:
+            kept = None
+            for ids, x in tiles(batches, blocks.dim, 0):
+                kept = kept or _Candidates(k, next(blocks.read()))
+                for found in _passing(x, ids, kept.block, threshold):
+                    kept.add(*found)
+                    if k is None:
+                        yield from kept.batches(names)
+            if kept is not None:
+                yield from kept.batches(names)
             return
-        c_set, c_score, c_ids = _prune(c_set, c_score, c_ids, k)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(sids[c_set], pa.int64()), c_ids, pa.array(c_score, pa.float64())],
-            names=[set_col, id_col, "score"])
-
-    src = db.select(F.col(id_col), F.col(vec_col).cast("array<double>").alias(vec_col))
-    return src.mapInArrow(run, schema)
+        for ids, x in tiles(batches, blocks.dim, STORE_TILE_BYTES):
+            for block in blocks.read():
+                kept = _Candidates(k, block)
+                for found in _passing(x, ids, block, threshold):
+                    kept.add(*found)
+                    if k is None:
+                        yield from kept.batches(names)
+                yield from kept.batches(names)
+
+    return run
 
 
 def packed_query_sets(queries: DataFrame, set_col: str = "query_set_id",

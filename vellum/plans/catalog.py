@@ -20,8 +20,7 @@ from vellum.operators.context import assemble_context, budgeted_blocks, document
 from vellum.operators.embed import HashEmbedder, embed, embed_batches, global_row_number, hash_embed, token_guard
 from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
                                        echo_responder, generate, generate_once, request_configs)
-from vellum.operators.retrieve import (RANK_PLACES, rank_key, rank_top_k, render, score_sets,
-                                       score_sets_native, top_k_single)
+from vellum.operators.retrieve import RANK_PLACES, rank_key, rank_top_k, render, score_sets, top_k_single
 from vellum.operators.usage import (append_usage, cost_rates, read_usage, record_usage, usage_by_model,
                                     usage_cost)
 from vellum.plans import sql as S
@@ -108,7 +107,7 @@ def one_query_set(spark, sf):
 
 
 def one_set_scores(spark, sf, threshold):
-    return score_sets_native(written_store(spark, sf), one_query_set(spark, sf), threshold=threshold, dim=64)
+    return score_sets(written_store(spark, sf), one_query_set(spark, sf), k=None, threshold=threshold, dim=64)
 
 
 def set_topk(spark, sf):
