@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.session import shared_path
+from vellum.sources.shared_files import open_input
 
 
 @dataclass(frozen=True)
@@ -49,15 +50,9 @@ class QueryBlocks:
             yield read_block(name)
 
 
-def _open(uri: str):
-    from pyarrow import fs
-    system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(path)
-
-
 def read_block(uri: str) -> Block:
     import pyarrow.parquet as pq
-    with _open(uri) as f:
+    with open_input(uri) as f:
         table = pq.ParquetFile(f).read(columns=["s", "v"])
     vectors = table["v"].combine_chunks()
     matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
@@ -90,7 +85,7 @@ def write_query_blocks(queries: DataFrame, set_col: str, vec_col: str, dim: int
      .write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(folder))
     files = sorted(spark.read.parquet(folder).inputFiles())
     try:
-        _open(files[0]).close()
+        open_input(files[0]).close()
     except (pa.ArrowException, OSError, ValueError) as exc:
         raise ValueError(f"tasks cannot open the shared folder: {files[0]}") from exc
     return QueryBlocks(files, int(least))

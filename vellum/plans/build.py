@@ -15,7 +15,7 @@ from vellum.functions.text import MAX_CHUNK_TOKENS, normalise_whitespace, stable
 from vellum.operators.chunker import check_chunk_params, split_documents
 from vellum.operators.embed import HASH_MODEL, embed, hash_embed, token_guard
 from vellum.sources.corpus import PageExtractor, admit_files, admitted, form_feed_pages, load_corpus
-from vellum.sources.store import STORE_COLUMNS, replace_with_nothing, write_store
+from vellum.sources.store import STORE_COLUMNS, write_store
 
 TokenCounter = Callable[[Column], Column]
 
@@ -92,12 +92,8 @@ def build_and_write(files: DataFrame, store_path: str, chunk_size: int = 512, ov
     chunks = chunk_corpus(docs, chunk_size, overlap_size, min_text_length, token_counter=token_counter).observe(
         chunks_seen, count(F.col("tokens") > MAX_CHUNK_TOKENS).alias("rejected_chunks"))
     rows = store_rows(chunks, model, dim, guard=mode, embedder_factory=embedder_factory).observe(
-        rows_seen, F.count(F.lit(1)).alias("chunks"), F.sum("tokens").alias("total_tokens"),
-        F.collect_set("subject").alias("written"))
-    write_store(rows, store_path)
+        rows_seen, F.count(F.lit(1)).alias("chunks"), F.sum("tokens").alias("total_tokens"))
+    write_store(rows, store_path, subjects=subjects or ())
     counts = {**files_seen.get, **docs_seen.get, **chunks_seen.get, **rows_seen.get}
-    written = set(counts.pop("written") or [])
-    for subject in set(subjects or []) - written:
-        replace_with_nothing(files.sparkSession, store_path, subject)
     counts["total_tokens"] = counts["total_tokens"] or 0
     return counts

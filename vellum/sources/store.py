@@ -1,16 +1,25 @@
-"""Vector store: Parquet partitioned by subject (sink and source).
+"""Vector store: Parquet by version and subject (sink and source).
 
-Writing replaces only the subjects present in the frame (dynamic partition
-overwrite), gzip compressed.  Reading one subject lists and scans only that
-partition folder; a missing subject raises ``FileNotFoundError``.
+A build writes its subjects into a folder of its own
+(``data/version=<name>/subject=<subject>``, gzip) and then switches the store's
+manifest, which names each subject's versions.  All subjects of a build change at
+once, readers see the old or the new rows and never a mix, and subjects that
+a build does not name stay as they are.  A subject that has no rows, or none
+any more, is not in the manifest: reading it raises ``FileNotFoundError``.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Iterable
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from vellum.sources.shared_files import names_in
+from vellum.sources.versions import latest, remove_unused, switch
+
 METADATA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -34,43 +43,63 @@ STORE_COLUMNS = [f.name for f in STORE_SCHEMA.fields]
 STORE_ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
-def write_store(rows: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Overwrite the subjects present in ``rows`` under ``path``.
+def write_store(rows: DataFrame, path: str, compression: str = "gzip", *, subjects: Iterable[str] = (),
+                part: str | None = None) -> list[str]:
+    """Replace the subjects present in ``rows``; returns their names.
+
+    Those of ``subjects`` that have no rows are emptied.  With ``part``, rows are
+    added to what the subjects have; writing a part of the same name again replaces it
+    (a replayed micro-batch is there once).
 
     Rows are sorted by ``id`` inside each file and a Parquet bloom filter is
     written for ``id``, so fetching the content of a few winners by id
     (``late_materialise``) skips row groups that hold none of them.
     """
+    spark, root = rows.sparkSession, path.rstrip("/")
+    version = part or uuid.uuid4().hex
+    folder = f"{root}/data/version={version}"
     (rows.select(*STORE_COLUMNS, "subject")
      .sortWithinPartitions("subject", "id")
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite" if part else "errorifexists")
+     .option("partitionOverwriteMode", "static")
      .option("compression", compression)
      .option("parquet.bloom.filter.enabled#id", "true")
      .option("parquet.block.size", str(STORE_ROW_GROUP_BYTES))
      .partitionBy("subject")
-     .parquet(path))
+     .parquet(folder))
+    written = {unquote(n.partition("=")[2]): n for n in names_in(spark, folder) if n.startswith("subject=")}
+
+    def change(manifest: dict) -> dict:
+        entries = {s: dict(e) for s, e in manifest.get("subjects", {}).items() if part or s not in set(subjects)}
+        for subject, name in written.items():
+            before = entries.get(subject, {}).get("versions", []) if part else []
+            entries[subject] = {"folder": name, "versions": [v for v in before if v != version] + [version]}
+        return {**manifest, "subjects": entries}
 
+    switch(spark, root, change)
+    return sorted(written)
 
-def replace_with_nothing(spark: SparkSession, path: str, subject: str) -> None:
-    """A rebuild that gives no rows leaves no old rows of its subject."""
-    (spark.createDataFrame([], STORE_SCHEMA).write.mode("overwrite")
-     .parquet(f"{path.rstrip('/')}/subject={subject}"))
+
+def stored_subjects(spark: SparkSession, path: str) -> list[str]:
+    return sorted((latest(spark, path)[1] or {}).get("subjects", {}))
+
+
+def remove_old_versions(spark: SparkSession, path: str, older_than_seconds: float = 24 * 3600) -> list[str]:
+    """Delete versions that no kept manifest names; returns their folders."""
+    used = lambda m: {f"version={v}" for e in m.get("subjects", {}).values() for v in e["versions"]}
+    return remove_unused(spark, path, "data", used, older_than_seconds)
 
 
 def read_store(spark: SparkSession, path: str, subject: str | None = None,
                columns: list[str] | None = None) -> DataFrame:
-    """Rows of one subject (or all), pruned to ``columns``."""
+    """Rows of one subject (or all), pruned to ``columns``, of the version that counts now."""
+    root = path.rstrip("/")
+    entries = (latest(spark, root)[1] or {}).get("subjects", {})
+    if subject is not None:
+        entries = {s: e for s, e in entries.items() if s == subject}
+    folders = [f"{root}/data/version={v}/{e['folder']}" for e in entries.values() for v in e["versions"]]
+    if not folders:
+        raise FileNotFoundError(f"Embedded data not found for subject: {subject}")
     schema = T.StructType(STORE_SCHEMA.fields + [T.StructField("subject", T.StringType())])
-    try:
-        if subject is None:
-            df = spark.read.schema(schema).parquet(path)
-        else:
-            df = (spark.read.schema(schema).option("basePath", path)
-                  .parquet(f"{path.rstrip('/')}/subject={subject}"))
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"Embedded data not found for subject: {subject}") from exc
-    if columns:
-        df = df.select(*columns)
-    return df
-
+    df = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*folders)
+    return df.select(*(columns or schema.fieldNames()))

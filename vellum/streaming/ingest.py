@@ -2,15 +2,17 @@
 
 New files dropped into ``root/subject`` are picked up by a file stream; each
 micro-batch runs the same build (admit, load, normalise, chunk, guard,
-embed) and is written under ``subject=<s>/ingest_epoch=<n>`` with dynamic
-partition overwrite.  A micro-batch that is replayed after a failure
-rewrites exactly its own partition, so the store never holds a batch twice;
-the stream's checkpoint (in the shared checkpoint folder) records which
-files were consumed.  ``read_store`` reads all epochs of a subject.
+embed) and is added to the store as a part named by stream and epoch.  A
+micro-batch that is replayed after a failure replaces exactly its own part, so
+the store never holds a batch twice; the stream's checkpoint (in the shared checkpoint
+folder) records which files were consumed.  ``read_store`` reads all parts of
+a subject.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +20,12 @@ from pyspark.sql.streaming import StreamingQuery
 from vellum.plans.build import build_database
 from vellum.session import shared_path, table_path
 from vellum.sources.corpus import file_format
-from vellum.sources.store import STORE_COLUMNS
+from vellum.sources.store import write_store
+
+def part_name(checkpoint_location: str, epoch_id: int) -> str:
+    """A micro-batch's part of the store: one name for a stream and epoch."""
+    return f"stream-{hashlib.sha256(checkpoint_location.encode()).hexdigest()[:16]}-{int(epoch_id)}"
+
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -40,12 +47,7 @@ def start_ingest(spark: SparkSession, root: str, subject: str, store_path: str,
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = build_database(batch, **build_kw)
-        (rows.select(*STORE_COLUMNS, "subject", F.lit(int(epoch_id)).alias("ingest_epoch"))
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .option("compression", "gzip")
-         .partitionBy("subject", "ingest_epoch")
-         .parquet(store_path))
+        write_store(rows, store_path, part=part_name(ckpt, epoch_id))
 
     writer = (corpus_stream(spark, root, subject).writeStream
               .foreachBatch(write_batch)
@@ -71,12 +73,7 @@ def table_stream_build(spark: SparkSession, sf_dir: str, store_path: str,
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = build_database(batch, include_pdf=False, **build_kw)
-        (rows.select(*STORE_COLUMNS, "subject", F.lit(int(epoch_id)).alias("ingest_epoch"))
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .option("compression", "gzip")
-         .partitionBy("subject", "ingest_epoch")
-         .parquet(store_path))
+        write_store(rows, store_path, part=part_name(ckpt, epoch_id))
 
     return (files.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
