@@ -21,9 +21,8 @@ from vellum.functions.text import token_count
 from vellum.operators.chunker import check_chunk_params
 from vellum.operators.embed import HASH_MODEL, embed
 from vellum.operators.generate import (DEFAULT_MAX_TOKENS, DEFAULT_TEMPERATURE, admit_requests,
-                                       allow_list, generate_once)
+                                       allow_list, generate_once, generate_recorded)
 from vellum.operators.retrieve import DEFAULT_THRESHOLD, DEFAULT_TOP_K
-from vellum.operators.usage import record_usage
 from vellum.plans.build import TokenCounter, build_and_write, build_database
 from vellum.functions.vectors import hash_vector
 from vellum.plans.retrieval import retrieval_prompts, retrieve
@@ -121,7 +120,6 @@ class Generator:
         bad = admitted.where(~F.col("admitted")).select("error").first()
         if bad is not None:
             raise ValueError(bad.error)
-        answer = generate_once(req, self.responder_factory, ["query_set_id"], mode="strict")
-        if self.ledger_path is not None:
-            record_usage(answer, self.ledger_path, "query_set_id")
-        return answer
+        if self.ledger_path is None:
+            return generate_once(req, self.responder_factory, ["query_set_id"], mode="strict")
+        return generate_recorded(req, self.responder_factory, ["query_set_id"], self.ledger_path, mode="strict")

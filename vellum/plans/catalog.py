@@ -19,10 +19,9 @@ from vellum.operators.chunker import split_documents
 from vellum.operators.context import assemble_context, budgeted_blocks, document_block
 from vellum.operators.embed import HashEmbedder, embed, embed_batches, global_row_number, hash_embed, token_guard
 from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
-                                       echo_responder, generate, generate_once, request_configs)
+                                       echo_responder, generate, generate_recorded, request_configs)
 from vellum.operators.retrieve import RANK_PLACES, rank_key, rank_top_k, render, score_sets, top_k_single
-from vellum.operators.usage import (append_usage, cost_rates, read_usage, record_usage, usage_by_model,
-                                    usage_cost)
+from vellum.operators.usage import append_usage, cost_rates, read_usage, usage_by_model, usage_cost
 from vellum.plans import sql as S
 from vellum.plans.build import build_database, chunk_corpus
 from vellum.plans.retrieval import embed_questions, retrieval_prompts, retrieve
@@ -529,13 +528,14 @@ FROM corpus_chunks GROUP BY subject, format""")
        CAST(len(regexp_extract_all(prompt, {S.q(NON_SPACE_RUN)})) AS BIGINT) AS prompt_tokens,
        CAST(3 AS BIGINT) AS completion_tokens, CAST(NULL AS VARCHAR) AS error FROM prompts""")
 
-    # the usage of every answered request, from the written responses through the ledger
+    # the usage of every answered request, from the ledger that the calls wrote as they returned
     def usage_after_generation(sp, sf):
         req = prompts(sp, sf).select(
             "query_set_id", F.when(F.col("query_set_id") % 2 == 0, "gpt-4o").otherwise("gpt-35-turbo").alias("model"),
             F.lit("AzureOpenAI").alias("provider"), F.lit(0.1).alias("temperature"), F.lit(2048).alias("max_tokens"), "messages")
-        answers = generate_once(req, echo_responder, ["query_set_id"])
-        return usage_by_model(record_usage(answers, shared_path(sp, "ledger", unique=True), "query_set_id"))
+        ledger_path = shared_path(sp, "ledger", unique=True)
+        generate_recorded(req, echo_responder, ["query_set_id"], ledger_path, mode="strict")
+        return usage_by_model(read_usage(sp, ledger_path))
     R["usage_after_generation"] = (
         usage_after_generation,
         ctx_sql + f""" SELECT CASE WHEN query_set_id % 2 = 0 THEN 'gpt-4o' ELSE 'gpt-35-turbo' END AS model,

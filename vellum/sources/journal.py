@@ -2,7 +2,7 @@
 
 Spark keeps a task's output only when the task succeeds, but a call to a
 provider is paid when it returns.  So tasks write each result to the shared
-folder themselves, in small files named by run and partition, as soon as
+folder themselves, in small files in a folder for their partition, as soon as
 ``every`` results or ``seconds`` have gathered, and whatever is left when the
 task ends, also when it fails.  A killed worker loses at most what had not been written.
 
@@ -24,36 +24,35 @@ from vellum.sources.shared_files import arrow_system, files_in, write_whole
 
 @dataclass(frozen=True)
 class Journal:
-    """``folder``: of one run, as ``qualified`` gives it; ``key``: the column that names an entry."""
+    """``folder``: of one job, as ``qualified`` gives it; ``key``: the column that names an entry."""
     folder: str
     key: str
     schema: pa.Schema
     every: int = 32
     seconds: float = 5.0
 
-    def _prefix(self, partition: int) -> str:
-        return f"part-{partition:05d}-"
+    def of(self, partition: int) -> str:
+        return f"{self.folder}/part-{partition:05d}"
 
     def recorded(self, partition: int) -> set:
         """Keys that earlier attempts of this partition wrote."""
         import pyarrow.parquet as pq
         system, _ = arrow_system(self.folder)
         found: set = set()
-        for path in files_in(self.folder):
-            if path.rpartition("/")[2].startswith(self._prefix(partition)):
-                with system.open_input_file(path) as f:
-                    found.update(pq.read_table(f, columns=[self.key])[self.key].to_pylist())
+        for path in files_in(self.of(partition)):
+            with system.open_input_file(path) as f:
+                found.update(pq.read_table(f, columns=[self.key])[self.key].to_pylist())
         return found
 
     def writer(self, partition: int) -> JournalWriter:
-        return JournalWriter(self, f"{self.folder}/{self._prefix(partition)}")
+        return JournalWriter(self, self.of(partition))
 
 
 class JournalWriter:
     """Use as a context; leaving it writes what is left."""
 
-    def __init__(self, journal: Journal, prefix: str):
-        self.journal, self.prefix, self.rows, self.since = journal, prefix, [], time.monotonic()
+    def __init__(self, journal: Journal, folder: str):
+        self.journal, self.folder, self.rows, self.since = journal, folder, [], time.monotonic()
 
     def add(self, *rows: dict) -> None:
         self.rows.extend(rows)
@@ -65,7 +64,7 @@ class JournalWriter:
         if self.rows:
             out = pa.BufferOutputStream()
             pq.write_table(pa.Table.from_pylist(self.rows, schema=self.journal.schema), out)
-            write_whole(f"{self.prefix}{uuid.uuid4().hex}.parquet", out.getvalue())
+            write_whole(f"{self.folder}/{uuid.uuid4().hex}.parquet", out.getvalue())
         self.rows, self.since = [], time.monotonic()
 
     def __enter__(self) -> JournalWriter:
