@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from vellum.functions.text import token_count
 from vellum.operators.chunker import check_chunk_params
 from vellum.operators.embed import HASH_MODEL, embed
-from vellum.operators.generate import (DEFAULT_MAX_TOKENS, DEFAULT_TEMPERATURE, admit_requests,
-                                       allow_list, generate_once, generate_recorded)
+from vellum.operators.generate import (DEFAULT_MAX_TOKENS, DEFAULT_TEMPERATURE, admit_requests, allow_list,
+                                       check_embedding_provider, generate_once, generate_recorded)
 from vellum.operators.retrieve import DEFAULT_THRESHOLD, DEFAULT_TOP_K
 from vellum.plans.build import TokenCounter, build_and_write, build_database
 from vellum.functions.vectors import hash_vector
@@ -37,18 +37,23 @@ def default_store(spark: SparkSession) -> str:
 
 class DatabaseBuilder:
     """``embedder_factory``, ``extractor`` (pages of a PDF) and ``token_counter`` are the
-    hooks of a build; ``model`` names the embedder."""
+    hooks of a build; ``model`` names the embedder, and a text that it has embedded for this
+    store (or ``vector_cache``) is not sent again: another embedder needs another name.
+    ``provider``, if given, must be one that is supported."""
 
     def __init__(self, spark: SparkSession, subject: str, chunk_size: int = 512, overlap_size: int = 64,
                  min_text_length: int = 0, store_path: str | None = None, mode: str = "strict",
                  embedder_factory: Callable | None = None, model: str = HASH_MODEL, dim: int = 64,
-                 extractor: PageExtractor = form_feed_pages, token_counter: TokenCounter = token_count):
+                 extractor: PageExtractor = form_feed_pages, token_counter: TokenCounter = token_count,
+                 vector_cache: str | None = None, provider: str | None = None):
         check_chunk_params(chunk_size, overlap_size)
+        check_embedding_provider(provider)
         self.spark, self.subject = spark, subject
         self.store_path = store_path or default_store(spark)
         self.options = {"chunk_size": chunk_size, "overlap_size": overlap_size, "min_text_length": min_text_length,
                         "mode": mode, "embedder_factory": embedder_factory, "model": model, "dim": dim,
-                        "extractor": extractor, "token_counter": token_counter}
+                        "extractor": extractor, "token_counter": token_counter,
+                        "vector_cache": vector_cache or f"{self.store_path.rstrip('/')}/vectors"}
 
     def rows(self, root_folder_path: str) -> DataFrame:
         return build_database(scan_corpus(self.spark, root_folder_path, self.subject), **self.options)

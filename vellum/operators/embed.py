@@ -9,7 +9,8 @@
   so no step gathers the table into one task.
 * ``hash_embed``: the built-in offline embedder (native feature hashing).
 * ``embed``: a user batch embedder run with ``mapInPandas``; batches are cut
-  inside each task by a token budget, one client per task.
+  inside each task by a token budget, one client per task.  Builds use
+  ``embed_cached`` instead: global batches, a cache of vectors, an audited join.
 """
 
 from __future__ import annotations
@@ -231,12 +232,6 @@ def embed_text(spark, embedder_factory: Callable[[], Embedder], text: str,
     return list(row.embedding)
 
 
-def attach_embeddings(chunks: DataFrame, vectors: DataFrame, key: str = "id") -> DataFrame:
-    """1:1 join of chunks and vectors by key (inner).  Use ``check_one_to_one``
-    to assert that no chunk lost its vector."""
-    return chunks.join(vectors, key, "inner")
-
-
 def check_one_to_one(left: DataFrame, right: DataFrame, key: str = "id") -> None:
     one = F.lit(1)
     both = left.select(key, one.alias("_l"), F.lit(0).alias("_r")).unionByName(

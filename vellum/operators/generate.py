@@ -78,6 +78,20 @@ def embedding_provider_ok(provider) -> Column:
     return F.lower(p).isin(*EMBEDDING_PROVIDERS)
 
 
+def admit_embedding_providers(rows: DataFrame, provider: str = "provider") -> DataFrame:
+    """Adds ``admitted`` and ``error`` (NULL when admitted); a null provider is refused."""
+    ok = F.coalesce(embedding_provider_ok(provider), F.lit(False))
+    name = F.coalesce(F.col(provider), F.lit("None"))
+    return rows.withColumn("admitted", ok).withColumn("error", F.when(~ok, F.concat(
+        F.lit("Unknown provider '"), name, F.lit("'. Supported providers are 'openai' and 'azure'."))))
+
+
+def check_embedding_provider(provider: str | None) -> None:
+    """Refuses a provider by name before anything is built (None: not looked at)."""
+    if provider is not None and provider.lower() not in EMBEDDING_PROVIDERS:
+        raise ValueError(f"Unknown provider '{provider}'. Supported providers are 'openai' and 'azure'.")
+
+
 def request_configs(requests: DataFrame) -> DataFrame:
     return requests.select(*CONFIG_COLUMNS).distinct()
 

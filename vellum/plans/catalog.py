@@ -17,13 +17,14 @@ from vellum.functions.text import NON_SPACE_RUN, normalise_whitespace, stable_id
 from vellum.functions.vectors import as_double_vector, cosine, dot, hash_vector
 from vellum.operators.chunker import split_documents
 from vellum.operators.context import assemble_context, budgeted_blocks, document_block
-from vellum.operators.embed import HashEmbedder, embed, embed_batches, global_row_number, hash_embed, token_guard
-from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_requests, allow_list,
+from vellum.operators.embed import HASH_MODEL, HashEmbedder, embed_batches, global_row_number, hash_embed, token_guard
+from vellum.operators.embed_cached import attach_embeddings, cached_embeddings
+from vellum.operators.generate import (CHAT_PROVIDERS, SUPPORTED_MODELS, admit_embedding_providers, admit_requests, allow_list,
                                        echo_responder, generate, generate_recorded, request_configs)
 from vellum.operators.retrieve import RANK_PLACES, rank_key, rank_top_k, render, score_sets, top_k_single
 from vellum.operators.usage import append_usage, cost_rates, read_usage, usage_by_model, usage_cost
 from vellum.plans import sql as S
-from vellum.plans.build import build_database, chunk_corpus
+from vellum.plans.build import CHUNK_ORDER, build_database, chunk_corpus
 from vellum.plans.retrieval import embed_questions, retrieval_prompts, retrieve
 from vellum.session import read_table, shared_path
 from vellum.sources.corpus import (admitted, corpus_files_from_tables, file_format, load_corpus,
@@ -482,16 +483,29 @@ SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, {RANK_PLACES
         _with(S.doc_chunks_ctes(), S.hashed_ctes("dstore", "doc_chunks", "content"))
         + f" SELECT id, subject, chunk_index, tokens, content, {S.vec_text('embedding')} AS embedding FROM dstore")
 
-    # F1 + J2: user embedder through mapInPandas; what belongs to a vector stays in its row
+    # a user embedder, one call per global batch, through the vector cache
+    def embed_chunks(sp, sf):
+        path = shared_path(sp, "staged-chunks", unique=True)
+        corpus_chunks(sp, sf).select("id", "content", "tokens", *CHUNK_ORDER).write.parquet(path)
+        return cached_embeddings(sp.read.parquet(path), lambda: HashEmbedder(64), HASH_MODEL, CHUNK_ORDER)
     R["embed_chunks"] = (
-        lambda sp, sf: embed(corpus_chunks(sp, sf), lambda: HashEmbedder(64), ["id"], "content", "tokens").select(
-            "id", vec_text("embedding").alias("embedding"), "error"),
-        _with(S.store_ctes()) + f" SELECT id, {S.vec_text('embedding')} AS embedding, CAST(NULL AS VARCHAR) AS error FROM store")
+        lambda sp, sf: embed_chunks(sp, sf).select("id", vec_text("embedding").alias("embedding")),
+        _with(S.store_ctes()) + f" SELECT id, {S.vec_text('embedding')} AS embedding FROM store")
+
+    # J2: chunks paired 1:1 with a table of vectors; a chunk or a vector without a partner fails the job
     R["attach_embeddings"] = (
-        lambda sp, sf: embed(corpus_chunks(sp, sf), lambda: HashEmbedder(64), ["id", "content"], "content", "tokens").select(
-            "id", "content", vec_text("embedding").alias("embedding")),
+        lambda sp, sf: attach_embeddings(corpus_chunks(sp, sf).select("id", "content"), written_store(sp, sf).select("id", "embedding"))
+        .select("id", "content", vec_text("embedding").alias("embedding")),
         _with(S.store_ctes()) + f" SELECT id, content, {S.vec_text('embedding')} AS embedding FROM store")
 
+    # P18 for embeddings: the provider of each request as an embedding provider
+    R["embedding_admission"] = (
+        lambda sp, sf: admit_embedding_providers(requests(sp, sf)).select("conv_id", "provider", "admitted", "error"),
+        _with(REQUESTS_SQL) + """ SELECT conv_id, provider, lower(provider) IN ('openai', 'azure') AS admitted,
+       CASE WHEN lower(provider) NOT IN ('openai', 'azure')
+            THEN 'Unknown provider ''' || provider || '''. Supported providers are ''openai'' and ''azure''.' END AS error
+FROM requests""")
+
     # W3 embedding batches, A2 token totals, A5 build counts
     R["embed_batches"] = (
         lambda sp, sf: embed_batches(corpus_chunks(sp, sf), ["subject", "path", "chunk_index"], "tokens")
