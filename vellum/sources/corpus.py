@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from vellum.functions.html import html_text, html_title
 from vellum.functions.text import TXT_SOURCE, universal_newlines
 from vellum.session import read_table, spread
+from vellum.sources.shared_files import hadoop_path, hadoop_system
 
 ADMITTED_PATTERN = r"\.(pdf|html|txt)$"
 METADATA_TYPE = "struct<source:string,title:string,path:string,page:int>"
@@ -64,41 +65,63 @@ def rejected_files(files: DataFrame) -> DataFrame:
 FORMATS = ("txt", "html", "pdf")
 
 
-def _entries(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
-    """(path, is a folder) of everything directly in ``folder``, hidden or not."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+def _entries(spark: SparkSession, folder: str) -> list[tuple[str, str, bool, int]]:
+    """(path, name, is a folder, bytes) of everything directly in ``folder``, hidden or not.
+
+    The entries come over as three texts, not one by one: a folder may hold very
+    many files.  All paths begin with the folder's own, which no name can contain."""
+    jvm, path, system = spark.sparkContext._jvm, hadoop_path(spark, folder), hadoop_system(spark, folder)
+    if not system.exists(path):
         raise FileNotFoundError(f"Folder not found: {folder}")
-    return [(f.getPath().toString(), f.isDirectory()) for f in fs.listStatus(path)]
+    entries = jvm.org.apache.hadoop.util.functional.RemoteIterators.toList(system.listStatusIterator(path))
+    collect, by = jvm.org.apache.commons.collections4.CollectionUtils.collect, jvm.org.apache.commons.collections4.TransformerUtils.invokerTransformer
+    flags, sizes = (collect(entries, by(m)).toString()[1:-1].split(", ") for m in ("isDirectory", "getLen"))
+    paths = collect(entries, by("getPath")).toString()[1:-1]
+    start = system.makeQualified(path).toString().rstrip("/") + "/"
+    names = paths.removeprefix(start).split(", " + start) if paths else []
+    if not paths:
+        return []
+    if len(names) != len(flags) or any("/" in n for n in names):
+        raise RuntimeError(f"the listing of {folder} cannot be read")
+    return [(start + n, n, flag == "true", int(size)) for n, flag, size in zip(names, flags, sizes, strict=True)]
+
+
+def _left_out(name: str) -> bool:
+    """Whether Spark's own listing leaves a file of this name out."""
+    hidden = name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+    return hidden and not name.startswith(("_metadata", "_common_metadata"))
 
 
 def scan_corpus(spark: SparkSession, root: str, subject: str) -> DataFrame:
     """All direct children of ``root/subject``: ``(subject, path, format, content BINARY)``.
 
-    One read per format, told apart by name, so that a loader reads the files
-    of its format only.  Entries that Spark's listing leaves out or that have
-    another suffix (subfolders, hidden files) are rows without content: a
-    strict admission refuses them, a quarantine reports them.
+    Spark lists the folder once; each format is a branch over that listing, cut down
+    to its files by name when it is planned, so that a loader reads the files of its
+    format only.  Files of another suffix are rows without content, and so are entries that Spark's
+    listing leaves out (subfolders, hidden files): a strict admission refuses
+    them, a quarantine reports them.  Spark's scan skips files of no bytes; they
+    are rows with empty content.
     """
     folder = root.rstrip("/") + "/" + subject
     odd = []
-    for path, is_folder in _entries(spark, folder):
-        name = path.rsplit("/", 1)[-1]
-        known = name.lower().endswith(tuple("." + f for f in FORMATS))
+    for path, name, is_folder, size in _entries(spark, folder):
+        suffix = name.lower().rpartition(".")[2] if "." in name else ""
         if is_folder:
             odd.append((subject, path + "/", "", None))
-        elif not known:
-            odd.append((subject, path, "", None))
-        elif name.startswith((".", "_")):
-            odd.append((subject, path + " (hidden)", "", None))
-    out = None
+        elif _left_out(name):
+            odd.append((subject, path + " (hidden)" * (suffix in FORMATS), "", None))
+        elif not size:
+            odd.append((subject, path, suffix, bytearray()) if suffix in FORMATS else (subject, path, "", None))
+    raw = spark.read.format("binaryFile").load(folder)
+    name = F.lower(F.col("_metadata.file_name"))
+    known = name.endswith(".txt") | name.endswith(".html") | name.endswith(".pdf")
+    # the format is worked out from the path here: a constant would let a loader's filter
+    # plan these rows away before a strict admission has seen them
+    out = raw.where(~known).select(F.lit(subject).alias("subject"), "path", file_format("path").alias("format"),
+                                   F.lit(None).cast("binary").alias("content"))
     for fmt in FORMATS:
-        glob = "*." + "".join(f"[{c}{c.upper()}]" for c in fmt)
-        raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-               .option("pathGlobFilter", glob).load(folder))
-        part = spread(raw.select(F.lit(subject).alias("subject"), F.col("path"), F.lit(fmt).alias("format"), F.col("content")))
-        out = part if out is None else out.unionByName(part)
+        of_format = raw.where(name.endswith("." + fmt))
+        out = out.unionByName(spread(of_format.select(F.lit(subject).alias("subject"), "path", F.lit(fmt).alias("format"), "content")))
     if odd:
         out = out.unionByName(spark.createDataFrame(odd, "subject string, path string, format string, content binary"))
     return out
