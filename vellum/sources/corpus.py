@@ -97,8 +97,8 @@ def scan_corpus(spark: SparkSession, root: str, subject: str) -> DataFrame:
 
     Spark lists the folder once; each format is a branch over that listing, cut down
     to its files by name when it is planned, so that a loader reads the files of its
-    format only.  Files of another suffix are rows without content, and so are entries that Spark's
-    listing leaves out (subfolders, hidden files): a strict admission refuses
+    format only.  Files of another suffix and entries that Spark's listing leaves out
+    (subfolders, hidden files) are rows without content: a strict admission refuses
     them, a quarantine reports them.  Spark's scan skips files of no bytes; they
     are rows with empty content.
     """
@@ -110,18 +110,17 @@ def scan_corpus(spark: SparkSession, root: str, subject: str) -> DataFrame:
             odd.append((subject, path + "/", "", None))
         elif _left_out(name):
             odd.append((subject, path + " (hidden)" * (suffix in FORMATS), "", None))
+        elif suffix not in FORMATS:
+            odd.append((subject, path, "", None))
         elif not size:
-            odd.append((subject, path, suffix, bytearray()) if suffix in FORMATS else (subject, path, "", None))
+            odd.append((subject, path, suffix, bytearray()))
     raw = spark.read.format("binaryFile").load(folder)
     name = F.lower(F.col("_metadata.file_name"))
-    known = name.endswith(".txt") | name.endswith(".html") | name.endswith(".pdf")
-    # the format is worked out from the path here: a constant would let a loader's filter
-    # plan these rows away before a strict admission has seen them
-    out = raw.where(~known).select(F.lit(subject).alias("subject"), "path", file_format("path").alias("format"),
-                                   F.lit(None).cast("binary").alias("content"))
+    out = None
     for fmt in FORMATS:
         of_format = raw.where(name.endswith("." + fmt))
-        out = out.unionByName(spread(of_format.select(F.lit(subject).alias("subject"), "path", F.lit(fmt).alias("format"), "content")))
+        part = spread(of_format.select(F.lit(subject).alias("subject"), "path", F.lit(fmt).alias("format"), "content"))
+        out = part if out is None else out.unionByName(part)
     if odd:
         out = out.unionByName(spark.createDataFrame(odd, "subject string, path string, format string, content binary"))
     return out
