@@ -7,6 +7,7 @@ beyond ASCII are word bytes, so a byte table decides.
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +19,14 @@ _BYTE = _rng.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E37_79B9_7F4A_7C15)         # odd
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = np.uint64(0xD1B5_4A32_D192_ED03)         # odd, between words
+_SEED = np.uint64(0x9E37_79B9_7F4A_7C15)
+_TURN = np.uint64(0xA24B_AED4_963E_E407)         # odd, between pieces of a word
+#: Words of more bytes than this are hashed one by one.
+LONG_WORD = 256
 
 
 def _lowered() -> np.ndarray:
-    t = np.arange(256)
+    t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32
     return t
 
@@ -62,6 +67,35 @@ def _room(n: int) -> int:
     return 1 << max(12, int(n).bit_length())
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings data[start:end], A-Z as a-z.
+
+    Words are taken eight bytes at a time, all words together, and mixed after each
+    piece, so that what one piece changes no later piece can undo by its
+    place alone (as sums of bytes times powers can)."""
+    lowered = np.zeros(len(data) + 8, dtype=np.uint8)
+    np.take(LOWER, data, out=lowered[:len(data)])
+    pieces = np.ndarray(len(data) + 1, dtype="<u8", buffer=lowered, strides=(1,))
+    length = end - start
+    out = length.astype(np.uint64) * _TURN + _SEED
+    open_ = np.nonzero(length <= LONG_WORD)[0]
+    done = 0
+    while len(open_):
+        left = length[open_] - done
+        piece = pieces[start[open_] + done]
+        short = left < 8
+        if short.any():
+            bits = (np.minimum(left, 7) * 8).astype(np.uint64)
+            piece = np.where(short, piece & ((np.uint64(1) << bits) - np.uint64(1)), piece)
+        out[open_] = mix64((out[open_] ^ piece) * _TURN + _STEP)
+        open_ = open_[left > 8]
+        done += 8
+    for k in np.nonzero(length > LONG_WORD)[0]:
+        digest = hashlib.blake2b(lowered[start[k]:end[k]], digest_size=8).digest()
+        out[k] = np.frombuffer(digest, dtype="<u8")[0]
+    return out
+
+
 class Words:
     """The words of a string column: ``hash`` (64 bits, A-Z as a-z), byte
     places ``start`` and ``end`` in ``data``, and ``first``, the word offsets of
@@ -80,10 +114,7 @@ class Words:
             right[:-1] |= ~inside[1:]
         self.start = np.nonzero(inside & left)[0]
         self.end = np.nonzero(inside & right)[0] + 1
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[LOWER[data]] * _powers(_room(n), int(_BASE))[:n], out=sums[1:], dtype=np.uint64)
-        self.hash = mix64((sums[self.end] - sums[self.start]) * _powers(_room(n), int(_INVERSE))[self.start]
-                          + (self.end - self.start).astype(np.uint64))
+        self.hash = word_hashes(data, self.start, self.end)
         self.first = np.searchsorted(self.start, self.offs)
 
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,5 +137,7 @@ def window_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
         word = padded[begin + k]
         if short.any():
             word = np.where(k < length, word, np.uint64(0))
-        acc = acc * _STEP + word
+        # shifted between words: a plain polynomial has sequences that collide at any odd factor
+        acc = (acc ^ word) * _STEP
+        acc ^= acc >> np.uint64(29)
     return mix64(acc + length.astype(np.uint64)), offs
