@@ -2,7 +2,7 @@
 
 All of them are built-in Spark expressions (JVM side, no Python worker).
 The regular expressions are written so that Java's engine and RE2 read them
-the same way; the DuckDB oracles reuse the same strings.
+the same way; the DuckDB statements spell out their own.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.functions.text import NON_SPACE_RUN, normalise_whitespace, stable_id, token_count
+from vellum.functions.text import normalise_whitespace, stable_id, token_count
 from vellum.functions.vectors import as_double_vector, cosine, dot, hash_vector
 from vellum.operators.chunker import split_documents
 from vellum.operators.context import assemble_context, budgeted_blocks, document_block
@@ -148,16 +148,14 @@ def _with(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",".join(c.strip().rstrip(",") for c in ctes if c.strip())
 
 
-MODELS_SQL = "[" + ", ".join(S.q(m) for m in SUPPORTED_MODELS + ["unlisted-model"]) + "]"
-PROVIDERS_SQL = "[" + ", ".join(S.q(p) for p in CHAT_PROVIDERS + ["huggingface", "OpenAI"]) + "]"
-SUPPORTED_SQL = ", ".join(S.q(m) for m in SUPPORTED_MODELS)
-MODEL_ERR = ("Model not found in the list of supported models: ["
-             + ", ".join(f"'{m}'" for m in SUPPORTED_MODELS) + "].")
+MODELS_SQL = "[" + ", ".join(S.q(m) for m in S.MODELS + ["unlisted-model"]) + "]"
+PROVIDERS_SQL = "[" + ", ".join(S.q(p) for p in S.PROVIDERS + ["huggingface", "OpenAI"]) + "]"
+SUPPORTED_SQL = ", ".join(S.q(m) for m in S.MODELS)
 
 REQUESTS_SQL = f"""
 requests AS (
   SELECT conv_id,
-         {MODELS_SQL}[(conv_id % {len(SUPPORTED_MODELS) + 1}) + 1] AS model,
+         {MODELS_SQL}[(conv_id % 10) + 1] AS model,
          {PROVIDERS_SQL}[(conv_id % 4) + 1] AS provider,
          CASE WHEN conv_id % 2 = 0 THEN 0.0 ELSE 0.1 END::DOUBLE AS temperature,
          CASE WHEN conv_id % 3 = 0 THEN 512 WHEN conv_id % 3 = 1 THEN 1024 ELSE 2048 END AS max_tokens,
@@ -165,7 +163,7 @@ requests AS (
          CAST(sum(CASE WHEN role = 'assistant' THEN {S.token_count('text')} ELSE 0 END) AS BIGINT) AS completion_tokens
   FROM conversations GROUP BY conv_id),
 admission AS (
-  SELECT *, CASE WHEN model NOT IN ({SUPPORTED_SQL}) THEN {S.q(MODEL_ERR)}
+  SELECT *, CASE WHEN model NOT IN ({SUPPORTED_SQL}) THEN {S.q(S.MODEL_ERROR)}
                  WHEN provider NOT IN ('AzureOpenAI', 'HuggingFace')
                  THEN 'Unsupported provider: ' || provider || '. Supported providers: AzureOpenAI, HuggingFace'
             END AS error
@@ -179,12 +177,6 @@ rates(model, prompt_rate, completion_rate) AS (
          ('gpt-35-turbo-16k', 0.0000027::DECIMAL(12,9), 0.0000036::DECIMAL(12,9)))"""
 
 
-def _prompt_sql(context: str, question: str) -> str:
-    from vellum.operators.context import PROMPT_HEAD, PROMPT_MIDDLE, PROMPT_TAIL
-    return (f"({S.q(PROMPT_HEAD)} || coalesce({context}, '') || {S.q(PROMPT_MIDDLE)} || {question} "
-            f"|| {S.q(PROMPT_TAIL)})")
-
-
 BLOCK_SQL = ("'Metadata: ' || coalesce(to_json({'source': meta_source, 'title': meta_title, "
              "'path': meta_path, 'page': meta_page}), '') || chr(10) || 'Content: ' || content || chr(10) || chr(10)")
 
@@ -198,7 +190,7 @@ kept AS (
 contexts AS (SELECT query_set_id, string_agg(block, '' ORDER BY rank) AS context FROM kept GROUP BY query_set_id),
 prompts AS (
   SELECT q.query_set_id, q.question, coalesce(c.context, '') AS context,
-         {_prompt_sql('c.context', 'q.question')} AS prompt
+         {S.prompt('c.context', 'q.question')} AS prompt
   FROM question_src q LEFT JOIN contexts c ON q.query_set_id = c.query_set_id)"""
 
 
@@ -539,7 +531,7 @@ FROM corpus_chunks GROUP BY subject, format""")
             echo_responder, ["query_set_id"]).select("query_set_id", "model", "response", "prompt_tokens",
                                                      "completion_tokens", "error"),
         ctx_sql + f""" SELECT query_set_id, 'gpt-4o' AS model, 'I don''t know.' AS response,
-       CAST(len(regexp_extract_all(prompt, {S.q(NON_SPACE_RUN)})) AS BIGINT) AS prompt_tokens,
+       CAST({S.split_words('prompt')} AS BIGINT) AS prompt_tokens,
        CAST(3 AS BIGINT) AS completion_tokens, CAST(NULL AS VARCHAR) AS error FROM prompts""")
 
     # the usage of every answered request, from the ledger that the calls wrote as they returned
@@ -553,7 +545,7 @@ FROM corpus_chunks GROUP BY subject, format""")
     R["usage_after_generation"] = (
         usage_after_generation,
         ctx_sql + f""" SELECT CASE WHEN query_set_id % 2 = 0 THEN 'gpt-4o' ELSE 'gpt-35-turbo' END AS model,
-       CAST(sum(len(regexp_extract_all(prompt, {S.q(NON_SPACE_RUN)}))) AS BIGINT) AS prompt_tokens,
+       CAST(sum({S.split_words('prompt')}) AS BIGINT) AS prompt_tokens,
        CAST(sum(3) AS BIGINT) AS completion_tokens FROM prompts GROUP BY 1""")
 
     # P18/J5 admission, A7 configurations, S10 ledger, A3 per model, J4/A4 cost

@@ -23,6 +23,44 @@ SHORT_NAMES = "|".join(sorted((k for k in entities.html5 if k[-1] != ";"), key=l
 REFERENCES = r"&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;|&(?:" + SHORT_NAMES + ")|[^&]+|&"
 
 
+# Fixed values, spelled out once more for the statements.
+MODELS = """gpt-4o
+gpt-35-turbo
+gpt-35-turbo-16k
+HuggingFaceH4/zephyr-7b-beta
+mistralai/Mistral-7B-Instruct-v0.2
+codellama/CodeLlama-34b-Instruct-hf
+meta-llama/Meta-Llama-3-8B-Instruct
+microsoft/Phi-3-mini-4k-instruct
+mistralai/Mixtral-8x7B-Instruct-v0.1""".split("\n")
+MODEL_ERROR = (
+    "Model not found in the list of supported models: ['gpt-4o', 'gpt-35-turbo', 'gpt-35-turbo-16k', 'HuggingFaceH4/zephyr-7b-beta', "
+    "'mistralai/Mistral-7B-Instruct-v0.2', 'codellama/CodeLlama-34b-Instruct-hf', 'meta-llama/Meta-Llama-3-8B-Instruct', "
+    "'microsoft/Phi-3-mini-4k-instruct', 'mistralai/Mixtral-8x7B-Instruct-v0.1'].")
+PROVIDERS = ["AzureOpenAI", "HuggingFace"]
+PROMPT = """Use the below information chunks to answer the subsequent question. If the answer cannot be found, write 'I don't know.'
+....
+........DOCUMENTS:
+........{context}
+........
+........Whenever possible cite the source of the information using the metadata provided (i.e., mention for example the title of the document and on which page).
+........
+........Question: {question}
+........""".replace("\n........", "\n" + 8 * " ").replace("\n....", "\n" + 4 * " ")
+
+
+def prompt(context: str, question: str) -> str:
+    """The prompt with two SQL expressions in it."""
+    head, rest = PROMPT.split("{context}")
+    middle, tail = rest.split("{question}")
+    return f"({q(head)} || coalesce({context}, '') || {q(middle)} || {question} || {q(tail)})"
+
+
+def split_words(x: str) -> str:
+    """Number of pieces between white space, as ``str.split()`` cuts."""
+    return f"len(list_filter(regexp_split_to_array({x}, {q(SPACES + '+')}), lambda w: w <> ''))"
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
