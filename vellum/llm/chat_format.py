@@ -64,7 +64,9 @@ def reconstruct(events: DataFrame, *, conv: str = "conv_id", seq: str = "seq", k
     are ignored; the first event that names a role gives the message's role."""
     ev = events.select(F.col(conv).alias("_c"), F.col(seq).alias("_q"),
                        F.coalesce(F.col(kind), F.lit("message")).alias("_k"),
-                       F.coalesce(F.col(message).cast("string"), F.concat(F.lit("#"), F.col(seq).cast("string"))).alias("_m"),
+                       # an unnamed event is a message of its own, whatever names there are
+                       F.struct(F.col(message).cast("string").alias("name"),
+                                F.when(F.col(message).isNull(), F.col(seq)).alias("own")).alias("_m"),
                        F.col(role).alias("_r"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     ev = ev.where(F.col("_k").isin("message", "delta", "edit", "regenerate"))
     of_message = Window.partitionBy("_c", "_m")
