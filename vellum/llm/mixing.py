@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import materialise, prepare, read_table
+from vellum.llm.common import materialise, prepare, read_table, unused
 
 #: Fixed values of the contract: weights of the sources in order, cap.
 WEIGHTS = (5, 2, 1)
@@ -98,7 +98,7 @@ def mix_sized(sized: DataFrame, *, seed: int = SEED, keep: list[str] | None = No
     out = ["doc_id", "source", "size", *keep, "source_size", "target", "epochs"]
     clear = joined.where(~at_end).select(*out, F.when(
         F.col("_before") + F.col("_in") <= F.col("_rest"), F.col("size")).otherwise(F.lit(0)).alias("part"))
-    order = (Window.partitionBy("source", "_slice").orderBy("_key", "doc_id", "size")
+    order = (Window.partitionBy("source", "_slice").orderBy("_key", "doc_id", "size", *keep)
              .rowsBetween(Window.unboundedPreceding, -1))
     left = F.col("_rest") - F.col("_before") - F.coalesce(F.sum("size").over(order), F.lit(0))
     edge = joined.where(at_end).withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), left))).select(*out, "part")
@@ -137,13 +137,17 @@ def first_words(text: Column, n: Column) -> Column:
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed corpus: one row per copy that the mix takes, with the columns of
     ``docs`` and ``copy`` (from 1), ``size``, ``taken``; the copy that crosses its
-    source's budget holds the first ``taken`` words of its text.
+    source's budget holds the first ``taken`` words of its text.  Columns of ``docs``
+    keep their names: if one is called like a new column, the new one gets an underscore.
 
     Rows that agree in id, source and text are numbered on both sides, so
-    each gets the share of one row.
+    each gets the share of one row.  Null and empty texts have no words and are not
+    taken; a null source is a source; an empty table gives no rows.
     """
     names = docs.columns
-    tagged = docs.withColumn("_size", n_words(F.col("text"))).withColumn("_tag", F.xxhash64("text"))
+    copy, size, taken = unused(docs, "copy", "size", "taken")
+    tagged = docs.select(F.struct(*[F.col(c) for c in names]).alias("_doc"), "doc_id", "source",
+                         n_words(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tag"))
     same = Window.partitionBy("doc_id", "source", "_tag").orderBy("_size")
     keyed = tagged.withColumn("_row", F.row_number().over(same))
     sized = tagged.select("doc_id", "source", F.col("_size").alias("size"), "_tag")
@@ -155,10 +159,11 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     for c in ("doc_id", "source"):
         on = on & F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}"))
     n_copies = F.col("epochs") + F.when(F.col("part") > 0, 1).otherwise(0)
-    out = (d.join(t, on).select(*[F.col(f"d.{c}").alias(c) for c in names], F.col("t.size").alias("_size"), "epochs", "part",
+    out = (d.join(t, on).select("d._doc", F.col("t.size").alias("_size"), "epochs", "part",
                                 F.explode(F.sequence(F.lit(1), n_copies.cast("int"))).alias("_copy")))
     whole = F.col("_copy") <= F.col("epochs")
-    cut = F.when(whole | (F.col("part") == F.col("_size")), F.col("text")).otherwise(first_words(F.col("text"), F.col("part")))
-    return out.select(*[cut.alias(c) if c == "text" else F.col(c) for c in names if c not in ("copy", "size", "taken")],
-                      F.col("_copy").alias("copy"), F.col("_size").alias("size"),
-                      F.when(whole, F.col("_size")).otherwise(F.col("part")).alias("taken"))
+    text = F.col("_doc").getField("text")
+    cut = F.when(whole | (F.col("part") == F.col("_size")), text).otherwise(first_words(text, F.col("part")))
+    return out.select(*[cut.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in names],
+                      F.col("_copy").alias(copy), F.col("_size").alias(size),
+                      F.when(whole, F.col("_size")).otherwise(F.col("part")).alias(taken))
