@@ -102,9 +102,14 @@ class Model:
     def __init__(self, features: np.ndarray, weights: np.ndarray, intercept: float):
         self.features, self.weights, self.intercept = features, weights, intercept
 
-    def scores(self, column: pa.Array) -> np.ndarray:
-        wanted = np.zeros(1 << BITS, dtype=bool)
-        wanted[self.features] = True
+    def wanted(self) -> np.ndarray:
+        """A flag for each feature there can be; for ``scores``, made once per task."""
+        out = np.zeros(1 << BITS, dtype=bool)
+        out[self.features] = True
+        return out
+
+    def scores(self, column: pa.Array, wanted: np.ndarray | None = None) -> np.ndarray:
+        wanted = self.wanted() if wanted is None else wanted
         total = np.full(len(column), self.intercept)
         row, feature = present(column, wanted)
         if len(row):
@@ -154,7 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(2), lists], ["_id", "toxic", "found"])
 
     # the sample's chosen features: a bounded number of rows
-    got = rows.mapInArrow(reduced, "_id bigint, toxic int, found array<bigint>").toArrow().sort_by([("toxic", "ascending"), ("_id", "ascending")])
+    kind = rows.schema["_id"].dataType.simpleString()
+    got = rows.mapInArrow(reduced, f"_id {kind}, toxic int, found array<bigint>").toArrow().sort_by([("toxic", "ascending"), ("_id", "ascending")])
     toxic = np.asarray(got["toxic"].combine_chunks())
     found = got["found"].combine_chunks()
     offs = np.asarray(found.offsets)
@@ -195,8 +201,10 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[s
     src = docs.select(*keep, F.col(text_col).alias("_text"))
 
     def run(batches):
+        model = shared.value
+        wanted = model.wanted()
         for rb in slices(batches, "_text"):
-            s = shared.value.scores(rb.column(rb.num_columns - 1))
+            s = model.scores(rb.column(rb.num_columns - 1), wanted)
             yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(s), pa.array((s >= TOXIC).astype(np.int32))],
                                              [*rb.schema.names[:-1], "score", "predicted"])
 
