@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.session import ensure_checkpoint_dir, read_table, ship_package
+from vellum.sources.shared_files import delete
 
-__all__ = ["read_table", "prepare", "materialise", "slices", "spread_small", "utf8", "held_out"]
+__all__ = ["read_table", "prepare", "materialise", "release", "Scratch", "frugal", "unused", "slices", "spread_small", "utf8", "held_out"]
 
 #: Bytes of text that a Python task holds as NumPy arrays at a time (one text may be longer).
 SLICE_BYTES = 2 << 20
@@ -40,6 +44,68 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*written: DataFrame) -> None:
+    """Delete what ``materialise`` wrote.  For frames whose last reader has itself been
+    written: nothing may be computed from them any more, not even again."""
+    for df in written:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/vellum-llm/" in folder:
+                delete(df.sparkSession, folder)
+
+
+class Scratch:
+    """Tables that a step writes for itself; ``drop`` deletes them when its result
+    has been written."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.tables.append(materialise(df))
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        release(*self.tables)
+        self.tables = []
+
+
+@functools.lru_cache(1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def frugal(run: Callable, *caches) -> Callable:
+    """A task's body that gives its memory back when it ends (workers are kept for
+    later tasks, and with them all that the allocators hold); ``caches`` are emptied."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for cache in caches:
+                cache.cache_clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if _libc() is not None and hasattr(_libc(), "malloc_trim"):
+                _libc().malloc_trim(0)
+
+    return task
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """At least one partition per core for CPU-heavy row work on few splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism

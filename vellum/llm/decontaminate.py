@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import prepare, read_table, slices, spread_small
+from vellum.llm.common import frugal, prepare, read_table, slices, spread_small, unused
 from vellum.llm.words import Words, alphanumeric
 
 WINDOW = 10
@@ -269,7 +269,7 @@ def _search(docs: DataFrame, shared, text_col: str, found: str, n_words: str) ->
             columns = dict(zip(rb.schema.names, rb.columns)) | {n_words: pa.array(np.diff(w.first)), found: lists}
             yield pa.RecordBatch.from_arrays([columns[c] for c in rb.schema.names], rb.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def union_length(spans: list[tuple[int, int]]) -> int:
@@ -307,13 +307,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts the merged spans out of the texts (``n_chars`` follows); a document of
-    which no word is left goes."""
+    which no word is left goes.  Null, empty and wordless texts hold nothing and stay; repeated rows are
+    cut alike; other columns, whatever their names, go through; an empty table stays empty."""
     names = docs.columns
-    marked = find_spans(docs, read_table(spark, sf_dir, "benchmark"))
-    spans = F.transform("_found", lambda s: F.struct(s["from"], s["to"]))
-    schema = T.StructType(list(docs.schema.fields)).add("_left", "long")
-    src = marked.select(*names, "_n_words", spans.alias("_cuts"),
-                        F.transform("_found", lambda s: F.struct(s["start"], s["end"])).alias("_hits"))
+    found, n_words, cuts_, hits_, left_ = unused(docs, "_found", "_n_words", "_cuts", "_hits", "_left")
+    marked = find_spans(docs, read_table(spark, sf_dir, "benchmark"), found=found, n_words=n_words)
+    spans = F.transform(found, lambda s: F.struct(s["from"], s["to"]))
+    schema = T.StructType(list(docs.schema.fields)).add(left_, "long")
+    src = marked.select(*names, n_words, spans.alias(cuts_),
+                        F.transform(found, lambda s: F.struct(s["start"], s["end"])).alias(hits_))
     text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches):
@@ -333,9 +335,9 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
                 if chars is not None:
                     columns[chars_at] = pa.array(chars, rb.schema.types[chars_at])
             cut = np.array([bool(c) for c in cuts])
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.where(cut, left, 1))], [*names, "_left"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.where(cut, left, 1))], [*names, left_])
 
-    return src.mapInArrow(run, schema).where("_left > 0").drop("_left")
+    return src.mapInArrow(frugal(run), schema).where(F.col(left_) > 0).drop(left_)
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:

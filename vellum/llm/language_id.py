@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import held_out, prepare, read_table, spread_small
+from vellum.llm.common import frugal, held_out, materialise, prepare, read_table, spread_small, unused
 
 DIM = 512              # length of the vectors
 NGRAM = 3
@@ -35,6 +35,7 @@ SCALE = 1 << 16        # training profiles are scaled to this length and rounded
 PIECE = 1 << 20        # characters of a text that are held as arrays at a time
 REMEMBERED = 1 << 16   # n-gram vectors that a worker keeps
 UNKNOWN = "und"
+LONGEST = 40           # order of magnitude of the longest text there can be
 #: The pipeline's stage rejects a text whose cosine with its language's prototype is below
 #: this part of a low quantile of the cosines of training texts of that language and length.
 REJECT_BELOW, QUANTILE, ENOUGH = 0.6, 0.05, 10
@@ -123,7 +124,7 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
 
     rows = docs.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(
         "t is not null and l is not null")
-    sums = (spread_small(rows).mapInArrow(run, "lang string, dim int, v bigint")
+    sums = (spread_small(rows).mapInArrow(frugal(run, _profiles), "lang string, dim int, v bigint")
             .groupBy("lang", "dim").agg(F.sum(F.col("v").cast("double")).alias("v")))
     # DIM rows per learned language
     got = sums.orderBy("lang", "dim").toPandas()
@@ -182,7 +183,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: s
     schema = T.StructType(list(docs.schema.fields))
     for k, name in enumerate(added):
         schema = schema.add(name, "double" if k else "string")
-    return spread_small(docs).mapInArrow(run, schema)
+    return spread_small(docs).mapInArrow(frugal(run, _profiles), schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,32 +197,33 @@ def _length(text) -> Column:
     return F.floor(F.log2(F.length(text))).cast("int")
 
 
-def least_fits(training: DataFrame, model: tuple[list[str], np.ndarray]) -> dict[str, dict[int, float]]:
-    """Per language and length, the least cosine with the prototype that is accepted."""
-    marked = predict(training, model, pred_col="_pred", score_col="_score", fit_col="_fit")
-    # a row for each language and length
-    got = (marked.where(F.col("_pred") == F.col("lang").cast("string")).groupBy("lang", _length("text").alias("size"))
-           .agg(F.percentile_approx("_fit", QUANTILE, 10_000).alias("fit"), F.count("*").alias("n"))
-           .where(F.col("n") >= ENOUGH).collect())
-    out: dict[str, dict[int, float]] = {}
-    for r in got:
-        out.setdefault(str(r["lang"]), {})[r["size"]] = REJECT_BELOW * r["fit"]
-    return out
+def least_fits(marked: DataFrame, lang: str, text: str, pred: str, fit: str) -> DataFrame:
+    """``lang, size, least``: per language and order of length, the least cosine with the prototype
+    that is accepted, from training rows that were given their own language; an order that
+    too few of them have takes the next smaller one's."""
+    own = marked.where(F.col(pred) == F.col(lang).cast("string"))
+    found = (own.groupBy(F.col(pred).alias("lang"), _length(text).alias("of"))
+             .agg(F.percentile_approx(fit, QUANTILE, 10_000).alias("fit"), F.count("*").alias("n"))
+             .where(F.col("n") >= ENOUGH))
+    sizes = found.select("lang", "of", "fit", F.explode(F.sequence("of", F.lit(LONGEST))).alias("size"))
+    return sizes.groupBy("lang", "size").agg((REJECT_BELOW * F.max_by("fit", "of")).alias("least"))
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose text has letters and fits a learned language.
 
     A text is held against training texts of its length, or else of the next
-    smaller length that enough of them have; one shorter than all these stays."""
-    names = docs.columns
-    training = docs.where(~held_out(F.col("doc_id")))
-    model = learn(training)
-    least = F.lit(-1.0)
-    limits = least_fits(training.select("text", "lang"), model)
-    for lang in sorted(limits):
-        for size in sorted(limits[lang]):
-            here = (F.col("_lang_pred") == lang) & (_length("text") >= size)
-            least = F.when(here, F.lit(limits[lang][size])).otherwise(least)
-    marked = predict(docs, model, pred_col="_lang_pred", score_col="_lang_score", fit_col="_lang_fit")
-    return marked.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_fit") >= least)).select(*names)
+    smaller length that enough of them have; one shorter than all these stays.
+    Null, empty and letterless texts go; without anything to learn from, all
+    texts go.  Repeated rows stay as often as they come; a null ``lang`` is not learned
+    from; other columns, whatever their names, go through; an empty table stays empty."""
+    pred, score, fit, size = unused(docs, "_pred", "_score", "_fit", "_size")
+    model = learn(docs.where(~held_out(F.col("doc_id"))))
+    # read back twice, for the limits and for the decision; predicted once
+    marked = materialise(predict(docs, model, pred_col=pred, score_col=score, fit_col=fit))
+    # a row for each language and order of length: written, so that Spark knows its size before it plans the join
+    limits = materialise(least_fits(marked.where(~held_out(F.col("doc_id"))), "lang", "text", pred, fit))
+    least = limits.select(F.col("lang").alias(pred), F.col("size").alias(size), F.col("least").alias(score))
+    judged = marked.drop(score).withColumn(size, _length("text")).join(least, [pred, size], "left")
+    fits = F.col(fit) >= F.coalesce(F.col(score), F.lit(-1.0))
+    return judged.where((F.col(pred) != UNKNOWN) & fits).select(*docs.columns)
