@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import materialise
+from vellum.llm.common import materialise, release
 
 
 class Forest:
@@ -72,5 +72,6 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        pairs = materialise(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        before, pairs = pairs, materialise(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        release(before)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import materialise, prepare, read_table, slices, spread_small
+from vellum.llm.common import Scratch, frugal, materialise, prepare, read_table, slices, spread_small, unused
 from vellum.llm.near import link_components
 from vellum.llm.words import Words, mix64, not_space
 
@@ -111,7 +111,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("id", "doc_id", "text").mapInArrow(
-        run, f"id bigint, doc_id {kind}, size bigint, sketch binary, keys array<bigint>")
+        frugal(run), f"id bigint, doc_id {kind}, size bigint, sketch binary, keys array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
@@ -123,7 +123,7 @@ def shingle_sets(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
             sets = [np.unique(hashes[lo:hi]).tobytes() for lo, hi in zip(offs[:-1], offs[1:])]
             yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(sets, pa.binary())], ["id", "members"])
 
-    return docs.select("id", text).mapInArrow(run, "id bigint, members binary")
+    return docs.select("id", text).mapInArrow(frugal(run), "id bigint, members binary")
 
 
 def drop_unlike_stars(sizes: DataFrame, share: int):
@@ -174,8 +174,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 def duplicate_groups(rows: DataFrame, width: int, share: int) -> DataFrame:
     """Rows (id, doc_id, text) -> per distinct text: id, size, least (smallest
     doc_id of its component) and leader (the text's id that has it)."""
-    spread = spread_small(rows.select("id", "doc_id", "text"))
-    nodes = materialise(sketches(spread, width).groupBy("id").agg(
+    spread, scratch = spread_small(rows.select("id", "doc_id", "text")), Scratch()
+    nodes = scratch.write(sketches(spread, width).groupBy("id").agg(
         F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch"),
         F.first("keys").alias("keys")))
     bands = nodes.select(F.posexplode("keys").alias("band", "key"), "id").select("key", "band", "id")
@@ -193,8 +193,10 @@ def duplicate_groups(rows: DataFrame, width: int, share: int) -> DataFrame:
     # a null id comes after all others
     first = F.min(F.struct(F.col("least").isNull(), "least", "id"))
     best = named.groupBy("component").agg(first.alias("_first"))
-    return named.join(best, "component").select("id", "size", F.col("_first.least").alias("least"),
-                                                F.col("_first.id").alias("leader"))
+    out = materialise(named.join(best, "component").select("id", "size", F.col("_first.least").alias("least"),
+                                                           F.col("_first.id").alias("leader")))
+    scratch.drop()
+    return out
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,13 +205,16 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group, the one with the smallest id (of
-    repeated rows, one); texts without words stay as they are."""
-    names = docs.columns
-    rows = docs.withColumn("_text_id", F.xxhash64(F.coalesce("text", F.lit(""))))
-    groups = duplicate_groups(rows.select(F.col("_text_id").alias("id"), "doc_id", "text"), WIDTH, SHARE)
+    repeated rows, one); texts without words, null or empty, stay as they are, repeated rows of
+    them once.  A null id comes after all others.  Other columns, whatever their names, go
+    through; of repeated rows that differ in them, any one stays.  An empty table
+    stays empty."""
+    text_id, of, least, size, nth = unused(docs, "_text_id", "_chosen", "_least", "_size", "_nth")
+    rows = docs.withColumn(text_id, F.xxhash64(F.coalesce("text", F.lit(""))))
+    groups = duplicate_groups(rows.select(F.col(text_id).alias("id"), "doc_id", "text"), WIDTH, SHARE)
     chosen = groups.where((F.col("size") == 0) | (F.col("id") == F.col("leader"))).select(
-        F.col("id").alias("_chosen"), F.col("least").alias("_least"), F.col("size").alias("_size"))
-    kept = rows.join(chosen, (F.col("_text_id") == F.col("_chosen")) & (
-        (F.col("_size") == 0) | F.col("doc_id").eqNullSafe(F.col("_least"))))
-    nth = F.row_number().over(Window.partitionBy("_text_id", "doc_id").orderBy("_text_id"))
-    return kept.withColumn("_nth", nth).where("_nth = 1").select(*names)
+        F.col("id").alias(of), F.col("least").alias(least), F.col("size").alias(size))
+    kept = rows.join(chosen, (F.col(text_id) == F.col(of)) & (
+        (F.col(size) == 0) | F.col("doc_id").eqNullSafe(F.col(least))))
+    number = F.row_number().over(Window.partitionBy(text_id, "doc_id").orderBy(text_id))
+    return kept.withColumn(nth, number).where(F.col(nth) == 1).select(*docs.columns)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import materialise
+from vellum.llm.common import Scratch, frugal, materialise, release
 from vellum.llm.graph import Forest, components
 
 BLOCK = 1024                # members of a block
@@ -60,7 +60,7 @@ def exact_links(pairs: DataFrame, share: int) -> DataFrame:
                     keep.append(i)
             yield rb.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def units(rows: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
@@ -124,7 +124,7 @@ def candidates_in_units(rows: DataFrame, similar: Callable) -> DataFrame:
                 yield from t.select(["key", "p", "q", "first", "band", "id", "component", "size"]).take(at).combine_chunks().to_batches()
 
     schema = "key bigint, p bigint, q bigint, first boolean, band int, id bigint, component bigint, size bigint"
-    return by_unit(rows).mapInArrow(run, schema)
+    return by_unit(rows).mapInArrow(frugal(run), schema)
 
 
 def links_in_units(rows: DataFrame, share: int) -> DataFrame:
@@ -157,7 +157,7 @@ def links_in_units(rows: DataFrame, share: int) -> DataFrame:
                 a = np.array(got, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"])
 
-    return by_unit(rows).mapInArrow(run, "a bigint, b bigint")
+    return by_unit(rows).mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def link_components(bands: DataFrame, sizes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], share: int,
@@ -168,11 +168,14 @@ def link_components(bands: DataFrame, sizes: DataFrame, sets_of: Callable[[DataF
     ``sets_of``: (id) -> (id, members: the sorted distinct 64-bit shingles);
     ``star_filter``: drops pairs (a, b) that cannot be similar enough.
     """
+    scratch = Scratch()
     tops = bands.groupBy("key").agg(F.min("id").alias("top"), F.max("id").alias("_last")).where("top <> _last")
     # both sides of this join are plain shuffles, and nothing after it needs its
     # partitioning: Spark can split the partition of a hot key
-    shared = materialise(bands.join(materialise(tops.select("key", "top")), "key"))
-    shared = materialise(shared.distinct())
+    tops = materialise(tops.select("key", "top"))
+    repeated = materialise(bands.join(tops, "key"))
+    shared = scratch.write(repeated.distinct())
+    release(repeated, tops)
     stars = shared.where("id <> top").select(F.col("top").alias("a"), F.col("id").alias("b")).distinct()
     stars = materialise(star_filter(stars))
     ids = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
@@ -180,26 +183,29 @@ def link_components(bands: DataFrame, sizes: DataFrame, sets_of: Callable[[DataF
     with_sets = (stars.join(sets.select(F.col("id").alias("b"), F.col("members").alias("set_b")), "b")
                  .join(sets.select(F.col("id").alias("a"), F.col("members").alias("set_a")), "a")
                  .select("a", "b", "set_a", "set_b"))
-    links = materialise(exact_links(with_sets, share))
+    links = scratch.write(exact_links(with_sets, share))
+    release(sets, stars)
     found = components(links)
     more = shared.join(found, shared["id"] == found["node"], "left").select(
         "key", "band", "id", F.coalesce("component", "id").alias("component"))
     # keys with two members are done; others may hold pairs that no star has compared
     open_keys = more.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"),
                                         F.count("*").alias("_n")).where("_n > 2 and _lo <> _hi").select("key")
-    members = materialise(more.join(open_keys, "key", "left_semi").join(sizes.select("id", "size"), "id"))
+    members = scratch.write(more.join(open_keys, "key", "left_semi").join(sizes.select("id", "size"), "id"))
     if members.isEmpty():
+        scratch.drop()
         return found
     rows = blocks(members)
     if similar is not None:
         rows = candidates_in_units(rows.join(sizes.select("id", "sketch"), "id").select(
             "key", "p", "q", "first", "band", "id", "component", "size", "sketch"), similar)
-    rows = materialise(rows)
+    rows = scratch.write(rows)
     sets = sets_of(rows.select("id").distinct())
     extra = links_in_units(rows.join(sets, "id").select(
         "key", "p", "q", "first", "id", "component", "members"), share)
-    extra = materialise(extra)
-    if extra.isEmpty():
-        return found
-    return components(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-                      .unionByName(extra))
+    extra = scratch.write(extra)
+    if not extra.isEmpty():
+        found = components(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+                           .unionByName(extra))
+    scratch.drop()
+    return found

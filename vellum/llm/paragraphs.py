@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import materialise, prepare, read_table, slices, spread_small
+from vellum.llm.common import Scratch, frugal, materialise, prepare, read_table, release, slices, spread_small, unused
 from vellum.llm.near import link_components
 from vellum.llm.repeats import smallest_of_next
 from vellum.llm.words import _STEP, Words, _powers, _room, mix64, not_space, window_hashes
@@ -176,7 +176,7 @@ def paragraph_table(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "tid", "text").mapInArrow(
-        run, f"doc_id {kind}, tid bigint, place bigint, pid bigint, size bigint, keys array<bigint>")
+        frugal(run), f"doc_id {kind}, tid bigint, place bigint, pid bigint, size bigint, keys array<bigint>")
 
 
 def paragraph_sets(rows: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def paragraph_sets(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(p.ids()[which].view(np.int64)), pa.array(sets, pa.binary())],
                                              ["id", "members"])
 
-    return rows.select("text", "places").mapInArrow(run, "id bigint, members binary")
+    return rows.select("text", "places").mapInArrow(frugal(run), "id bigint, members binary")
 
 
 def anchor_table(rows: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def anchor_table(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "tid", "text").mapInArrow(
-        run, f"doc_id {kind}, tid bigint, lo bigint, n bigint, p_lo bigint, p_hi bigint, anchor bigint, extent bigint")
+        frugal(run), f"doc_id {kind}, tid bigint, lo bigint, n bigint, p_lo bigint, p_hi bigint, anchor bigint, extent bigint")
 
 
 def window_batch(rb: pa.RecordBatch, p: Paragraphs, row, lo, hi, hashes, names) -> pa.RecordBatch:
@@ -239,7 +239,7 @@ def single_windows(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "tid", "text", "runs").mapInArrow(
-        run, f"doc_id {kind}, tid bigint, lo bigint, n bigint, p_lo bigint, p_hi bigint, window bigint")
+        frugal(run), f"doc_id {kind}, tid bigint, lo bigint, n bigint, p_lo bigint, p_hi bigint, window bigint")
 
 
 def merged_passages(runs: DataFrame) -> DataFrame:
@@ -276,21 +276,22 @@ def _passages(kind: str) -> str:
 def repeated_passages(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """(doc_id, tid, passages) of the documents that have repeated passages; ``gone`` as
     from ``removals``."""
-    at = F.struct("doc_id", "tid", "lo", "p_lo", "p_hi")
-    table = materialise(anchor_table(spread_small(rows)))
-    again = materialise(table.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"))
-    table = materialise(table.join(again, "anchor"))
-    firsts = materialise(table.groupBy("extent").agg(
+    at, scratch = F.struct("doc_id", "tid", "lo", "p_lo", "p_hi"), Scratch()
+    every = materialise(anchor_table(spread_small(rows)))
+    again = materialise(every.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"))
+    table = scratch.write(every.join(again, "anchor"))
+    release(every, again)
+    firsts = scratch.write(table.groupBy("extent").agg(
         F.min(at).alias("first"), F.min("anchor").alias("anchor"), F.min("n").alias("n"), F.count("*").alias("_n")))
-    same = table.join(materialise(firsts.where("_n > 1").select("extent", "first")), "extent")
+    same = table.join(scratch.write(firsts.where("_n > 1").select("extent", "first")), "extent")
     # anchors with several extents: their windows one by one, of the first copy of each
     several = firsts.groupBy("anchor").agg(F.count("*").alias("_k")).where("_k > 1").select("anchor")
     want = firsts.join(several, "anchor").groupBy(F.col("first.doc_id").alias("_d"), F.col("first.tid").alias("_t")).agg(
         F.collect_list(F.struct(F.col("first.lo").alias("lo"), "n")).alias("runs"))
     texts = rows.join(want, (F.col("tid") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")))
-    windows = materialise(single_windows(texts))
+    windows = scratch.write(single_windows(texts))
     first = windows.groupBy("window").agg(F.min(at).alias("first"), F.count("*").alias("_n")).where("_n > 1")
-    each = windows.join(materialise(first.select("window", "first")), "window")
+    each = windows.join(scratch.write(first.select("window", "first")), "window")
     columns = ["doc_id", "tid", "lo", "n", "first"]
     late = same.select(*columns).unionByName(each.select(*columns))
     within = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tid") == F.col("first.tid"))
@@ -299,17 +300,20 @@ def repeated_passages(rows: DataFrame, gone: DataFrame) -> DataFrame:
         F.collect_set("place").alias("_near"))
     late = late.join(near, (F.col("first.tid") == F.col("_t")) & F.col("first.doc_id").eqNullSafe(F.col("_d")), "left").where(
         F.col("_near").isNull() | ~F.exists("_near", lambda x: x.between(F.col("first.p_lo"), F.col("first.p_hi"))))
-    return merged_passages(late.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_set(F.struct("lo", "n", "first"))).alias("runs")))
+    runs = late.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_set(F.struct("lo", "n", "first"))).alias("runs"))
+    out = materialise(merged_passages(runs))
+    scratch.drop()
+    return out
 
 
-def removals(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, tid, n_paragraphs)`` and ``(doc_id, tid, place, size, component, first, equal)`` of
+def removals(docs: DataFrame, share: int = SHARE, counted: bool = True) -> tuple[DataFrame | None, DataFrame]:
+    """``(doc_id, tid, n_paragraphs)`` (None unless ``counted``) and ``(doc_id, tid, place, size, component, first, equal)`` of
     all paragraphs that go; ``tid`` is a hash of the text, ``first`` the occurrence that stays,
     ``equal`` if it has the same words."""
-    rows = text_rows(docs)
-    table = materialise(paragraph_table(spread_small(rows)))
+    rows, scratch = text_rows(docs), Scratch()
+    table = scratch.write(paragraph_table(spread_small(rows)))
     where = F.struct("doc_id", "tid", "place")
-    nodes = materialise(table.groupBy("pid").agg(
+    nodes = scratch.write(table.groupBy("pid").agg(
         F.min(where).alias("at"), F.max(where).alias("last"), F.min("size").alias("size")))
     bands = table.select(F.posexplode("keys").alias("band", "key"), F.col("pid").alias("id")).select("key", "band", "id")
 
@@ -327,8 +331,10 @@ def removals(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]
     gone = named.join(best, "component").select("pid", "component", "first", F.col("at").eqNullSafe(F.col("first")).alias("equal"))
     out = table.select("doc_id", "tid", "place", "size", "pid").join(gone, "pid").where(
         ~F.struct("doc_id", "tid", "place").eqNullSafe(F.col("first")))
-    counts = table.groupBy("doc_id", "tid").agg(F.count_distinct("place").alias("n_paragraphs"))
-    return counts, materialise(out.select("doc_id", "tid", "place", "size", "component", "first", "equal").distinct())
+    counts = materialise(table.groupBy("doc_id", "tid").agg(F.count_distinct("place").alias("n_paragraphs"))) if counted else None
+    out = materialise(out.select("doc_id", "tid", "place", "size", "component", "first", "equal").distinct())
+    scratch.drop()
+    return counts, out
 
 
 def text_rows(docs: DataFrame) -> DataFrame:
@@ -377,19 +383,23 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts removed paragraphs and repeated passages out of the texts (``n_chars``
-    follows); a document of which no word is left goes."""
+    follows); a document of which no word is left goes.  Null and empty texts have no
+    paragraphs and stay; rows that agree in id and text are one document and are cut alike; null
+    ids come first in order; other columns, whatever their names, go through; an empty
+    table stays empty."""
     prepare(spark)
     names = docs.columns
-    _, gone = removals(docs)
-    places = gone.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_set("place")).alias("_places"))
+    tid, places_, passages_, left_, d_, t_ = unused(docs, "_tid", "_places", "_passages", "_left", "_d", "_t")
+    _, gone = removals(docs, counted=False)
+    places = gone.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_set("place")).alias(places_))
     found = repeated_passages(text_rows(docs), gone).select(
-        F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), F.transform(
-            "passages", lambda x: F.struct(x["begin"].alias("begin"), x["words"].alias("words"))).alias("_passages"))
-    both = places.join(found, (F.col("tid") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "full").select(
-        F.coalesce("doc_id", "_d").alias("_d"), F.coalesce("tid", "_t").alias("_t"), "_places", "_passages")
-    rows = docs.withColumn("_tid", F.xxhash64("text"))
-    src = rows.join(both, (F.col("_tid") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left").select(
-        *names, "_places", "_passages")
+        F.col("doc_id").alias(d_), F.col("tid").alias(t_), F.transform(
+            "passages", lambda x: F.struct(x["begin"].alias("begin"), x["words"].alias("words"))).alias(passages_))
+    both = places.join(found, (F.col("tid") == F.col(t_)) & F.col("doc_id").eqNullSafe(F.col(d_)), "full").select(
+        F.coalesce("doc_id", d_).alias(d_), F.coalesce("tid", t_).alias(t_), places_, passages_)
+    rows = docs.withColumn(tid, F.xxhash64("text"))
+    src = rows.join(both, (F.col(tid) == F.col(t_)) & F.col("doc_id").eqNullSafe(F.col(d_)), "left").select(
+        *names, places_, passages_)
     text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches):
@@ -422,7 +432,7 @@ def stage_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
                 columns[text_at] = pa.array(texts, pa.string())
                 if chars is not None:
                     columns[chars_at] = pa.array(chars, rb.schema.types[chars_at])
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(left)], [*names, "_left"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(left)], [*names, left_])
 
-    schema = T.StructType(list(docs.schema.fields)).add("_left", "boolean")
-    return src.mapInArrow(run, schema).where("_left").drop("_left")
+    schema = T.StructType(list(docs.schema.fields)).add(left_, "boolean")
+    return src.mapInArrow(frugal(run), schema).where(F.col(left_)).drop(left_)
