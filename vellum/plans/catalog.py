@@ -26,9 +26,10 @@ from vellum.operators.usage import append_usage, cost_rates, read_usage, usage_b
 from vellum.plans import sql as S
 from vellum.plans.build import CHUNK_ORDER, build_database, chunk_corpus
 from vellum.plans.retrieval import embed_questions, retrieval_prompts, retrieve
-from vellum.session import read_table, shared_path
+from vellum.session import read_table, shared_path, table_path
 from vellum.sources.corpus import (admitted, corpus_files_from_tables, file_format, load_corpus,
                                    load_html, load_pdf, load_text)
+from vellum.sources.shared_files import modified
 from vellum.sources.store import read_store, write_store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,18 +88,23 @@ def label_db(spark, sf):
         "vec_id", "label", as_double_vector("embedding").alias("embedding"))
 
 
-_stores: dict[tuple[str, str], str] = {}
+_stores: dict[tuple, str] = {}
 
 
-def written_store(spark, sf):
-    """The store of this data folder, built and written once per application
-    (gzip Parquet by subject): what only reads a store does not build it."""
-    key = (spark.sparkContext.applicationId, sf)
+def store_path(spark, sf):
+    """The store of this data folder, built and written once per application and state of its
+    tables (gzip Parquet by subject): what only reads a store does not build it."""
+    state = tuple(modified(spark, table_path(sf, name)) for name in ("documents", "pages"))
+    key = (spark.sparkContext.applicationId, sf, state)
     if key not in _stores:
         path = shared_path(spark, "store", unique=True)
         write_store(store(spark, sf), path)
         _stores[key] = path
-    return read_store(spark, _stores[key])
+    return _stores[key]
+
+
+def written_store(spark, sf):
+    return read_store(spark, store_path(spark, sf))
 
 
 def one_query_set(spark, sf):
@@ -453,8 +459,7 @@ SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY round(score, {RANK_PLACES
         _with(S.store_ctes()) + f" SELECT id, subject, chunk_index, tokens, content, {S.vec_text('embedding')} AS embedding FROM store")
 
     def scan(sp, sf):
-        written_store(sp, sf)
-        return read_store(sp, _stores[sp.sparkContext.applicationId, sf], subject="en", columns=["id", "content", "metadata", "subject"]).select(
+        return read_store(sp, store_path(sp, sf), subject="en", columns=["id", "content", "metadata", "subject"]).select(
             "id", "subject", "content", *_meta())
     R["vector_db_scan"] = (
         scan,

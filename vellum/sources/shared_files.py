@@ -35,6 +35,11 @@ def exists(spark: SparkSession, name: str) -> bool:
     return hadoop_system(spark, name).exists(hadoop_path(spark, name))
 
 
+def modified(spark: SparkSession, name: str) -> int:
+    """Time of the last change (of a folder: of its entries), in milliseconds."""
+    return hadoop_system(spark, name).getFileStatus(hadoop_path(spark, name)).getModificationTime()
+
+
 def names_in(spark: SparkSession, folder: str) -> list[str]:
     """Names directly in ``folder`` (none if it is not there); for folders of few entries."""
     system, path = hadoop_system(spark, folder), hadoop_path(spark, folder)

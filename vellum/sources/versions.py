@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
-from vellum.sources.shared_files import create_once, delete, hadoop_path, hadoop_system, names_in, read_text
+from vellum.sources.shared_files import create_once, delete, modified, names_in, read_text
 
 KEPT_MANIFESTS = 10
 
@@ -62,7 +62,7 @@ def remove_unused(spark: SparkSession, root: str, data: str, used: Callable[[dic
     folder = f"{root}/{data}"
     gone = []
     for name in names_in(spark, folder):
-        at = hadoop_system(spark, folder).getFileStatus(hadoop_path(spark, f"{folder}/{name}")).getModificationTime() / 1000
+        at = modified(spark, f"{folder}/{name}") / 1000
         if name not in needed and time.time() - at >= older_than_seconds:
             delete(spark, f"{folder}/{name}")
             gone.append(name)
