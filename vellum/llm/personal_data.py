@@ -25,7 +25,8 @@ exclusive, ordered by kind as listed in ``KINDS``, then by start.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -157,15 +158,28 @@ def score(text: str, kind: str, start: int, end: int) -> float:
 def find_in(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float, bool]]:
     """(kind, start, end, score, is a base span), by kind, then start."""
     out = [(k, a, b, score(text, k, a, b), True) for k in BASE for a, b in FINDERS[k](text)]
-    taken = sorted((a, b) for _, a, b, _, _ in out)
+    starts, ends = union((a, b) for _, a, b, _, _ in out)
     for kind in KINDS[len(BASE):]:
         for a, b in FINDERS[kind](text):
             s = score(text, kind, a, b)
-            if s >= threshold and not any(x < b and a < y for x, y in taken):
+            before = bisect_left(starts, b)          # stretches that begin before the span's end
+            if s >= threshold and not (before and ends[before - 1] > a):
                 out.append((kind, a, b, s, False))
     return out
 
 
+def union(spans: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what spans cover, in order."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def redacted(text: str, spans: list[tuple[str, int, int, float, bool]]) -> str:
     """``text`` with each span, or run of overlapping spans, replaced by its (first) kind."""
     out, at = [], 0
