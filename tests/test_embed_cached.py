@@ -76,6 +76,14 @@ def test_a_text_is_sent_once(spark, tmp_path):
     assert sum(calls(log)) >= 501                                                       # another model has its own vectors
 
 
+def test_names_with_special_characters(spark, tmp_path):
+    rows = some_rows(5)
+    chunks, log, cache = staged(spark, tmp_path, rows), str(tmp_path / "log"), str(tmp_path / "c d%2Fe")
+    for _ in range(2):
+        assert vectors(cached_embeddings(chunks, counting(log), "text/embed 3%", ORDER, cache)) == expected(rows)
+    assert calls(log) == [5]
+
+
 def test_a_failed_build_keeps_what_it_paid(spark, tmp_path):
     rows = some_rows(repeats=False)
     chunks, log, cache = staged(spark, tmp_path, rows).coalesce(1), str(tmp_path / "log"), str(tmp_path / "cache")

@@ -162,3 +162,15 @@ def test_json_export(spark, tmp_path):
         assert json.load(f) == totals == {"gpt-4o": {"prompt_tokens": 1000, "completion_tokens": 1000},
                                           "mine": {"prompt_tokens": 500, "completion_tokens": 500}, "overall_cost": 0.018}
     assert usage_json(read_usage(spark, str(tmp_path / "none"))) == {"overall_cost": 0.0}
+
+
+def test_names_with_special_characters(spark, tmp_path):
+    """Spaces, percent signs and the like in folders and run names are taken as they stand."""
+    ledger, log = str(tmp_path / "a b%20c" / "ledger"), str(tmp_path / "log")
+    batch = requests(spark, range(5))
+    for _ in range(2):
+        out = generate_recorded(batch, logging_responder(log), ["k"], ledger, run_id="run 1%2F2")
+        assert out.where("response is not null").count() == 5
+    assert len(lines(log)) == 5 and read_usage(spark, ledger).count() == 5
+    assert seal_usage(spark, ledger) == 5 and read_usage(spark, ledger).count() == 5
+    assert not [n for n in names_in(spark, calls_folder(ledger, "run 1%2F2")) if n.endswith(".parquet")]

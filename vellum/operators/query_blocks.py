@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.session import shared_path
-from vellum.sources.shared_files import open_input
+from vellum.sources.shared_files import files_of, open_input
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def write_query_blocks(queries: DataFrame, set_col: str, vec_col: str, dim: int
     folder = shared_path(spark, "query-blocks", unique=True)
     (src.repartitionByRange(int(blocks), "s", "h").sortWithinPartitions("s", "h").drop("h")
      .write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(folder))
-    files = sorted(spark.read.parquet(folder).inputFiles())
+    files = sorted(files_of(spark.read.parquet(folder)))
     try:
         open_input(files[0]).close()
     except (pa.ArrowException, OSError, ValueError) as exc:

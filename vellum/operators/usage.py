@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.sources.shared_files import create_once, delete_files, exists, names_in, write_text
+from vellum.sources.shared_files import create_once, delete_files, exists, files_of, names_in, write_text
 from vellum.sources.versions import latest, switch
 
 # ---------------------------------------------------------------------------
@@ -115,7 +115,7 @@ def _calls(spark: SparkSession, path: str) -> DataFrame | None:
     if not exists(spark, folder):
         return None
     calls = spark.read.schema(USAGE_SCHEMA).option("recursiveFileLookup", "true").parquet(folder)
-    return calls if calls.inputFiles() else None
+    return calls if files_of(calls) else None
 
 
 def _sealed(spark: SparkSession, path: str) -> DataFrame | None:
@@ -156,7 +156,7 @@ def seal_usage(spark: SparkSession, path: str, remove: bool = True) -> int:
     calls = _calls(spark, path)
     if calls is None:
         return 0
-    files = calls.inputFiles()
+    files = files_of(calls)
     name = uuid.uuid4().hex
     seen = Observation("sealed")
     # these files only: whatever is appended from now on belongs to the next time

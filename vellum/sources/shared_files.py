@@ -11,8 +11,9 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from urllib.parse import quote, unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # --- driver ---------------------------------------------------------------
@@ -48,6 +49,11 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(path))
 
 
+def files_of(df: DataFrame) -> list[str]:
+    """The files that ``df`` reads, by name (Spark lists them as escaped URIs)."""
+    return [re.sub(r"^file:/+", "file:///", unquote(f)) for f in df.inputFiles()]
+
+
 def read_text(spark: SparkSession, name: str) -> str:
     stream = hadoop_system(spark, name).open(hadoop_path(spark, name))
     try:
@@ -121,8 +127,13 @@ def delete(spark: SparkSession, name: str) -> None:
 # --- tasks ----------------------------------------------------------------
 
 def arrow_system(uri: str):
+    """File system and path of a name as ``qualified`` gives it: nothing in it is an escape."""
     from pyarrow import fs
-    return fs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition("://")
+    if scheme == "file":
+        return fs.LocalFileSystem(), rest
+    authority, _, path = rest.partition("/")
+    return fs.FileSystem.from_uri(f"{scheme}://{authority}/{quote(path)}")
 
 
 def open_input(uri: str):
