@@ -340,3 +340,66 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repaired_digests(rows.where(~F.col("_gone")), audits)
     return out.withColumnRenamed("_c", "conv_id").select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+#: The same by another way: forward, row by row of each conversation, the cheapest edits into each state.
+ORACLE_SQL = r"""
+WITH RECURSIVE
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS x,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(unicode(k[i]) AS BIGINT)),
+    lambda c, b: list_reduce(range(0, 8), lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(c, b)),
+    4294967295::BIGINT), 4294967295) % 20 AS h FROM src),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE r END AS r,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS x,
+         unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy FROM hashed WHERE h <> 0),
+placed AS (
+  SELECT *, CAST(row_number() OVER w AS INTEGER) AS n, lag(r[1]) OVER w AS before, turn IS NOT NULL AND turn IS DISTINCT FROM lag(turn) OVER w AS new_turn
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, sha256(x), copy)),
+marked AS (
+  SELECT *, regexp_extract(x, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last,
+         n > min(n) OVER (PARTITION BY conv_id, r, x) AS again FROM placed),
+faulty AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM marked),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(*) FILTER (WHERE new_turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || r[1] NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n_rows
+  FROM faulty GROUP BY conv_id),
+-- states: 0 nothing yet, 1 after s, 2 after u, 3 after a
+inserts(state, here, letters, added) AS (VALUES
+  (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+  (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:']),
+  (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:']), (2, 2, 'II', ['assistant:', 'user:']), (3, 3, 'II', ['user:', 'assistant:'])),
+edits(here, initial, letter, goal, role) AS (VALUES
+  (0, 's', 'K', 1, NULL), (0, 'u', 'K', 2, NULL), (1, 'u', 'K', 2, NULL), (2, 'a', 'K', 3, NULL), (3, 'u', 'K', 2, NULL),
+  (0, NULL, 'R', 2, 'user'), (1, NULL, 'R', 2, 'user'), (2, NULL, 'R', 3, 'assistant'), (3, NULL, 'R', 2, 'user'),
+  (0, NULL, 'D', 0, NULL), (1, NULL, 'D', 1, NULL), (2, NULL, 'D', 2, NULL), (3, NULL, 'D', 3, NULL)),
+steps AS (
+  SELECT f.conv_id, f.n, i.state, e.goal, 3 * length(i.letters) + CASE letter WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+           + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 3 ELSE 0 END AS cost,
+         i.letters || e.letter AS audit,
+         list_concat(i.added, CASE WHEN letter = 'D' THEN [] ELSE [coalesce(e.role, f.r) || ':' || f.x] END) AS told
+  FROM faulty f, inserts i JOIN edits e ON i.here = e.here
+  WHERE (letter = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (letter <> 'K' OR initial = f.r[1])),
+best AS (
+  SELECT conv_id, 0 AS n, 0 AS state, {'cost': 0, 'audit': '', 'told': []::VARCHAR[]} AS b FROM counted
+  UNION ALL
+  SELECT b.conv_id, s.n, s.goal AS state, min({'cost': b.b.cost + s.cost, 'audit': b.b.audit || s.audit, 'told': list_concat(b.b.told, s.told)}) AS b
+  FROM best b JOIN steps s ON b.conv_id IS NOT DISTINCT FROM s.conv_id AND s.n = b.n + 1 AND s.state = b.state
+  GROUP BY b.conv_id, s.n, s.goal),
+ended AS (
+  SELECT c.conv_id, min({'cost': b.b.cost + 3 * length(e.letters), 'audit': b.b.audit || e.letters, 'told': list_concat(b.b.told, e.added)}) AS b
+  FROM best b JOIN counted c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.n = c.n_rows
+  JOIN inserts e ON e.state = b.state AND e.here IN (0, 3) GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+       coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.told, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

@@ -25,4 +25,5 @@ ORACLES = {
     "op9_chat_formatting": chat_format.ORACLE_SQL,
     "op11_filter_audit": filter_audit.ORACLE_SQL,
     "op12_personal_data": personal_data.ORACLE_SQL,
+    "op13_conversation_repair": conversation_repair.ORACLE_SQL,
 }
