@@ -245,3 +245,23 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
 
 def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs of a label; components by reachability.
+ORACLE_SQL = r"""
+WITH RECURSIVE
+v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE e IS NOT NULL AND label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+many AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(least.b, v.vec_id)) AS component_id,
+       v.vec_id <= coalesce(least.b, v.vec_id) AS kept
+FROM v LEFT JOIN least ON least.a = v.vec_id LEFT JOIN many ON many.a = v.vec_id
+"""

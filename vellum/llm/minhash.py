@@ -218,3 +218,26 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         (F.col(size) == 0) | F.col("doc_id").eqNullSafe(F.col(least))))
     number = F.row_number().over(Window.partitionBy(text_id, "doc_id").orderBy(text_id))
     return kept.withColumn(nth, number).where(F.col(nth) == 1).select(*docs.columns)
+
+
+#: Every pair that shares a shingle, counted; components by reachability.
+ORACLE_SQL = r"""
+WITH RECURSIVE
+t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, least(t.doc_id, coalesce(b, t.doc_id)) AS component_id,
+       t.doc_id <= coalesce(b, t.doc_id) AS kept
+FROM t LEFT JOIN n ON t.doc_id = n.doc_id LEFT JOIN least ON least.a = t.doc_id
+"""

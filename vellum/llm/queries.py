@@ -22,6 +22,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_decontamination": decontaminate.ORACLE_SQL,
+    "op3_spherical_caps": caps.ORACLE_SQL,
+    "op6_minhash": minhash.ORACLE_SQL,
     "op9_chat_formatting": chat_format.ORACLE_SQL,
     "op11_filter_audit": filter_audit.ORACLE_SQL,
     "op12_personal_data": personal_data.ORACLE_SQL,
