@@ -13,15 +13,17 @@ symbol, through ranks; the rows of the found intervals are walked back to
 sampled suffixes to locate the occurrences; occurrences are merged into
 spans per text.
 
-The benchmark is a stated query set: it goes to the tasks in blocks of at
-most ``BLOCK_BYTES`` of text, one after the other over the same rows, and
-the spans found by a block travel with the row.  Nothing is shuffled.
+The benchmark is a stated query set: tasks write it to the shared folder in
+blocks of about ``BLOCK_BYTES`` of text, and the tasks that read the documents
+hold one block at a time, in one pass over the rows.  Nothing of it goes through the
+driver, and no document is shuffled.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +31,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import frugal, prepare, read_table, slices, spread_small, unused
+from vellum.llm.common import SLICE_BYTES, frugal, prepare, read_table, slices, spread_small, unused
 from vellum.llm.words import Words, alphanumeric
+from vellum.session import ensure_checkpoint_dir
+from vellum.sources.shared_files import files_of, open_input
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20     # benchmark text that a task holds at a time
+MANY_BLOCKS_BYTES = 8 << 20   # text that is taken through several blocks at a time
 SAMPLE = 8                 # every so many places of a shard, a suffix is sampled
-FOUND = "array<struct<start:bigint,end:bigint,from:bigint,to:bigint,item:string>>"
+FOUND = T.ArrayType(T.StructType([*(T.StructField(c, T.LongType()) for c in ("start", "end", "from", "to")),
+                                  T.StructField("item", T.StringType())]))
 
 
 class WaveletMatrix:
@@ -215,18 +221,25 @@ def merged(begin, end, item, row):
     return begin[new], reach[last], item[new]
 
 
-def query_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[QueryBlock]:
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit("")))
-    for item, text in rows.toLocalIterator():
-        if texts and size + len(text) > block_bytes:
-            yield QueryBlock(ids, texts)
-            ids, texts, size = [], [], 0
-        ids.append(item)
-        texts.append(text)
-        size += len(text)
-    if texts:
-        yield QueryBlock(ids, texts)
+def write_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[str]:
+    """The benchmark as files of about ``block_bytes`` of text on the shared folder,
+    written by tasks; the driver knows their number and names only."""
+    spark = benchmark.sparkSession
+    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
+                            F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    path = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "vellum-llm", uuid.uuid4().hex])
+    blocks = max(1, -(-size // block_bytes))
+    rows.repartitionByRange(int(blocks), F.xxhash64("id", "text")).write.parquet(path)
+    return sorted(files_of(spark.read.schema(rows.schema).parquet(path)))
+
+
+@functools.lru_cache(1)
+def read_block(name: str) -> QueryBlock:
+    import pyarrow.parquet as pq
+    with open_input(name) as f:
+        table = pq.ParquetFile(f).read(columns=["id", "text"])
+    return QueryBlock(table["id"].to_pylist(), table["text"].to_pylist())
 
 
 def find_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", id_col: str = "item_id",
@@ -238,38 +251,35 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text",
     Null and empty texts have no words and no spans; items without words
     match nothing; an item without an id has the id ''; rows with the same
     item id are one item; repeated documents are searched each; an empty
-    benchmark or table gives no spans; all other columns are kept.
+    benchmark or table gives no spans; all other columns are kept, but for those
+    called ``found`` or ``n_words``.
     """
-    spark = prepare(docs.sparkSession)
-    out = spread_small(docs).withColumn(n_words, F.lit(0).cast("bigint")).withColumn(found, F.array().cast(FOUND))
-    blocks = list(map(spark.sparkContext.broadcast, query_blocks(benchmark, id_col, item_text, block_bytes)))
-    for shared in blocks or [spark.sparkContext.broadcast(QueryBlock([], []))]:
-        out = _search(out, shared, text_col, found, n_words)
-    return out
-
-
-def _search(docs: DataFrame, shared, text_col: str, found: str, n_words: str) -> DataFrame:
-    schema = T.StructType(list(docs.schema.fields))
+    prepare(docs.sparkSession)
+    names = [c for c in docs.columns if c not in (found, n_words)]
+    src = spread_small(docs.select(*[F.col(c) for c in names]))
+    files = write_blocks(benchmark, id_col, item_text, block_bytes)
+    schema = T.StructType(list(src.schema.fields)).add(n_words, "long").add(found, FOUND)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("from", pa.int64()), ("to", pa.int64()),
                                ("item", pa.string())]))
+    text_at = names.index(text_col)
+    # with several blocks, more text for each block that is read
+    limit = SLICE_BYTES if len(files) < 2 else MANY_BLOCKS_BYTES
 
     def run(batches):
-        block = shared.value
-        for rb in slices(batches, text_col):
-            w = Words(rb.column(rb.schema.get_field_index(text_col)), alphanumeric())
-            begin, end, item = block.spans(w)
-            row = np.searchsorted(w.first, begin, side="right") - 1
-            lists = rb.column(rb.schema.get_field_index(found))
-            if len(begin):
-                lists = lists.to_pylist()
+        for rb in slices(batches, text_col, limit):
+            w = Words(rb.column(text_at), alphanumeric())
+            lists = [[] for _ in range(rb.num_rows)]
+            for name in files:
+                block = read_block(name)
+                begin, end, item = block.spans(w)
+                row = np.searchsorted(w.first, begin, side="right") - 1
                 lows, highs = w.start[begin] - w.offs[row], w.end[end - 1] - w.offs[row]
                 for r, b, e, lo, hi, i in zip(row, begin - w.first[row], end - w.first[row], lows, highs, item):
                     lists[r].append({"start": b, "end": e, "from": lo, "to": hi, "item": block.ids[i]})
-                lists = pa.array(lists, kind)
-            columns = dict(zip(rb.schema.names, rb.columns)) | {n_words: pa.array(np.diff(w.first)), found: lists}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in rb.schema.names], rb.schema.names)
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(np.diff(w.first)), pa.array(lists, kind)],
+                                             [*names, n_words, found])
 
-    return docs.mapInArrow(frugal(run), schema)
+    return src.mapInArrow(frugal(run, read_block), schema)
 
 
 def union_length(spans: list[tuple[int, int]]) -> int:
