@@ -7,7 +7,7 @@ from splitter_oracle import split_text
 from vellum.plans.build import build_database
 from vellum.sources.corpus import load_corpus, scan_corpus
 from vellum.sources.store import read_store
-from vellum.streaming.ingest import start_ingest
+from vellum.streaming.ingest import start_ingest, table_stream_build
 
 HTML = ("<html><head><title>Einstein &amp; Co</title><script>x()</script></head>"
         "<body><p>Albert&nbsp;Einstein was born\r\non 14 March 1879.</p></body></html>")
@@ -102,3 +102,18 @@ def test_build_metrics_and_model_check(spark):
     assert counts["documents"] == 4 and counts["total_tokens"] > 0
     with pytest.raises(ValueError, match="built with"):
         Retriever(spark, "test", store_path=store, model="another-model")
+
+
+def test_table_stream_reads_a_folder_of_parts(spark, tmp_path):
+    rows = [(k, "en", f"Document {k} is short.") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1)
+    docs.write.parquet(str(tmp_path / "one"))
+    part = next(n for n in os.listdir(tmp_path / "one") if n.endswith(".parquet"))
+    os.makedirs(tmp_path / "file")
+    os.rename(tmp_path / "one" / part, tmp_path / "file" / "documents.parquet")
+    docs.repartition(3).write.parquet(str(tmp_path / "parts" / "documents.parquet"))
+    for name in ("file", "parts"):
+        store = str(tmp_path / f"store-{name}")
+        query = table_stream_build(spark, str(tmp_path / name), store)
+        query.awaitTermination()
+        assert sorted(r.content for r in read_store(spark, store).collect()) == [t for _, _, t in rows]

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vellum.plans.build import build_database
 from vellum.session import shared_path, table_path
 from vellum.sources.corpus import file_format
+from vellum.sources.shared_files import is_folder
 from vellum.sources.store import write_store
 
 def part_name(checkpoint_location: str, epoch_id: int) -> str:
@@ -59,13 +60,13 @@ def start_ingest(spark: SparkSession, root: str, subject: str, store_path: str,
 def table_stream_build(spark: SparkSession, sf_dir: str, store_path: str,
                        checkpoint_location: str | None = None, files_per_trigger: int = 1,
                        **build_kw) -> StreamingQuery:
-    """The ``documents`` table read as a file stream (txt corpus rows) and
-    built into the store micro-batch by micro-batch (idempotent epochs)."""
+    """The ``documents`` table (one file, or a folder of part files) read as a file stream
+    (txt corpus rows) and built into the store micro-batch by micro-batch (idempotent epochs)."""
     ckpt = checkpoint_location or shared_path(spark, "streams", "documents", unique=True)
-    schema = spark.read.parquet(table_path(sf_dir, "documents")).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .option("pathGlobFilter", "documents.parquet")
-              .parquet(sf_dir))
+    table = table_path(sf_dir, "documents")
+    reader = spark.readStream.schema(spark.read.parquet(table).schema).option("maxFilesPerTrigger", files_per_trigger)
+    # a file stream reads folders only
+    stream = reader.parquet(table) if is_folder(spark, table) else reader.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
     files = stream.select(
         F.col("lang").alias("subject"),
         F.format_string("corpus/%s/doc-%d.txt", F.col("lang"), F.col("doc_id")).alias("path"),
