@@ -192,3 +192,26 @@ def test_one_set_queries_leave_the_interpreted_engine(spark):
     for name in ("max_over_queries", "threshold_filter"):
         plan = catalog.queries()[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan and "transform(" not in plan and "aggregate(" not in plan
+
+
+def test_only_possible_winners_leave_a_tile():
+    import numpy as np
+    import pyarrow as pa
+
+    from vellum.operators.query_blocks import Block
+    from vellum.operators.retrieve import _Candidates, _passing
+    rng = np.random.default_rng(5)
+    x, q = np.round(rng.normal(size=(4000, 8)), 1), rng.normal(size=(6, 8))
+    x[::3] = x[0]                                          # very many ties
+    ids = pa.array([f"{k:05d}" for k in rng.permutation(4000)])
+    kept, given = _Candidates(3, Block(np.arange(6), np.arange(6), q)), 0
+    for lo in range(0, 4000, 500):
+        for sets, scores, found in _passing(x[lo:lo + 500], ids.slice(lo, 500), kept, 0.1):
+            given += len(sets)
+            kept.add(sets, scores, found)
+    kept.prune()
+    best = np.round(x @ q.T, 12)
+    for s in range(6):
+        order = sorted((-best[r, s], ids[r].as_py()) for r in range(4000) if best[r, s] >= 0.1)[:3]
+        assert [i for _, i in order] == [ids_ for ids_, t in zip(kept.ids.to_pylist(), kept.sets, strict=True) if t == s]
+    assert given < np.count_nonzero(best >= 0.1) / 2
