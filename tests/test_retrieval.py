@@ -215,3 +215,15 @@ def test_only_possible_winners_leave_a_tile():
         order = sorted((-best[r, s], ids[r].as_py()) for r in range(4000) if best[r, s] >= 0.1)[:3]
         assert [i for _, i in order] == [ids_ for ids_, t in zip(kept.ids.to_pylist(), kept.sets, strict=True) if t == s]
     assert given < np.count_nonzero(best >= 0.1) / 2
+
+
+def test_vectors_are_counted_outside_the_interpreted_engine(spark):
+    from vellum.operators.embed import HashEmbedder
+    from vellum.functions.text import token_count
+    from vellum.functions.vectors import hash_vector
+    texts = ["", " ", "Eins zwei, zwei! ÄÖ٣ x_y", "...", "a" * 3000, " tab\tnew\nline"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", "t", hash_vector("t").alias("v"), token_count("t").alias("n"))
+    assert "array_remove(" not in plan_of(df) and "regexp_extract_all" not in plan_of(df)
+    got = df.orderBy("k").collect()
+    assert [list(r.v) for r in got] == [v.tolist() for v in HashEmbedder(64)(texts)[0]]
+    assert [r.n for r in got] == [0, 0, 9, 3, 1, 4]
