@@ -157,3 +157,15 @@ def test_digest_names_the_text(spark):
     row = spark.createDataFrame([("é",)], "t string").select(text_digest("t")).first()
     import hashlib
     assert row[0] == hashlib.sha256("é".encode()).hexdigest() and SF0001
+
+
+def test_missing_rows_are_noted_without_their_texts(spark, tmp_path, monkeypatch):
+    from vellum.operators import embed_cached
+    folders = []
+    monkeypatch.setattr(embed_cached, "shared_path", lambda sp, *parts, unique: folders.append(str(tmp_path / parts[0])) or folders[-1])
+    rows = some_rows()
+    got = cached_embeddings(staged(spark, tmp_path, rows), lambda: HashEmbedder(64), "m", ORDER, str(tmp_path / "cache"))
+    assert vectors(got) == expected(rows)
+    # neither texts nor vectors are written a second time
+    assert [os.path.basename(f) for f in folders] == ["missing-texts"]
+    assert "content" not in spark.read.parquet(folders[0]).columns
