@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -71,3 +72,37 @@ def test_sliding_minimum():
     x = np.random.default_rng(0).integers(0, 1000, 137)
     for span in (1, 5, 137):
         assert smallest_of_next(x, span).tolist() == [min(x[k:k + span]) for k in range(len(x) - span + 1)]
+
+
+def shared_by_brute_force(docs, width):
+    held = [(i, t, {tuple(w[k:k + width]) for k in range(len(w) - width + 1)})
+            for i, t, w in ((i, t, [x for x in re.split("[\\x20\\x09-\\x0d]+", (t or "").lower()) if x]) for i, t in set(docs))]
+    owners = Counter(x for _, _, s in held for x in s)
+    return {(i, t) for i, t, s in held if any(owners[x] > 1 for x in s)}
+
+
+def test_passages_shorter_than_the_length(spark, monkeypatch):
+    """Passages of 50 words and under 400 bytes in texts that differ otherwise: the bytes stay, shared tells."""
+    rng = random.Random(9)
+    words = lambda n: [rng.choice("abcdefgh") + rng.choice("ijklm") + rng.choice("nopqrstu") + str(rng.randint(0, 99)) for _ in range(n)]
+    docs = [(i, " ".join(words(rng.randint(0, 200)))) for i in range(40)]
+    for k, n in enumerate(rng.randint(50, 60) for _ in range(20)):
+        passage = words(n)
+        docs += [(100 + 2 * k + c, rng.choice([" ", "\n"]).join(words(rng.randint(0, 90)) + passage + words(rng.randint(0, 90)))) for c in (0, 1)]
+    once, long = " ".join(words(70)), " ".join(words(700))
+    docs += [(200, once), (200, once), (201, None), (202, ""), (203, long + " " + long), (204, "x " + long[1500:1900]), (None, docs[0][1] + " y")]
+    monkeypatch.setattr(repeats, "CHUNK", 300)
+    monkeypatch.setattr(repeats, "PART", 64)
+    got = remove_repeats(clashing(spark.createDataFrame(docs, SCHEMA)))
+    rows = got.select("doc_id", "n_removed", "shared").collect()
+    sure, perhaps = ({i for i, _ in shared_by_brute_force(docs, n)} for n in (repeats.PASSAGE, repeats.PHRASE))
+    shared = {r.doc_id for r in rows if r.shared}
+    assert sure <= shared <= perhaps and set(range(100, 140)) <= shared and 200 not in shared
+    assert len(rows) == len(docs) and all(r.n_removed == 0 for r in rows if r.doc_id in range(100, 140))
+
+
+def test_a_passage_of_very_many_documents(spark):
+    line = " ".join(f"w{k}" for k in range(60))
+    docs = [(i, line if i % 2 else f"{i} {line} {i}") for i in range(400)] + [(1000, " ".join(f"v{k}" for k in range(90)))]
+    got = remove_repeats(spark.createDataFrame(docs, SCHEMA).repartition(3))
+    assert {r.doc_id for r in got.where("not shared").collect()} == {1000}

@@ -22,6 +22,12 @@ place owns the strings of one run of starts.
 Suffixes are compared up to ``LENGTH`` bytes, all that the question needs.  A
 phrase with more than ``GROUP`` different surroundings is not put into one task:
 its strings are counted by hash in an aggregate instead.
+
+Passages of ``PASSAGE`` words may have fewer than ``LENGTH`` bytes, so their bytes
+stay; the column ``shared`` tells which documents hold one.  Every run of so many
+words holds the phrase of ``PHRASE`` words that begins at the smallest hash among
+its first places.  A document is shared if such a phrase also occurs in another:
+no repeated run of ``PASSAGE`` words is missed, runs of ``PHRASE`` words and more may count.
 """
 
 from __future__ import annotations
@@ -31,15 +37,17 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - used as pa.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import materialise, prepare, read_table, slices, spread_small, utf8
+from vellum.llm.common import frugal, materialise, prepare, read_table, slices, spread_small, utf8
 from vellum.llm.near import units
-from vellum.llm.words import _BASE, _BYTE, _INVERSE, _powers, _room, mix64
+from vellum.llm.words import _BASE, _BYTE, _INVERSE, Words, _powers, _room, mix64, not_space, window_hashes
 
 LENGTH, SPAN, SEED = 400, 192, 16
 GROUP = 4096
+PASSAGE, PHRASE, WORD_SEED = 50, 30, 5
+PART = 1 << 19             # words of a long text that are taken at a time
 CHUNK = 2 << 20            # bytes that are held as arrays at a time
 _PLACE_BITS = 24
 
@@ -248,6 +256,65 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, span: int = SPAN, grou
     return out.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
+def word_phrases(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of the phrases of a string column, each once a row."""
+    w = Words(column, not_space())
+    seeds, offs = window_hashes(w.hash, w.first, WORD_SEED)
+    n, span = np.maximum(np.diff(w.first) - PASSAGE + 1, 0), PASSAGE - PHRASE + 1
+    if not n.any():
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    starts = np.repeat(offs[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    low = np.uint64(32)
+    packed = (mix64(seeds) >> low << low) | np.arange(len(seeds), dtype=np.uint64)
+    place = np.unique((smallest_of_next(packed, span)[starts] & np.uint64((1 << 32) - 1)).astype(np.int64))
+    row = np.searchsorted(offs, place, side="right") - 1
+    words = w.hash[(place - offs[row] + w.first[row])[:, None] + np.arange(PHRASE)].reshape(-1)
+    phrase, _ = window_hashes(words, np.arange(len(place) + 1) * PHRASE, PHRASE)
+    pairs = np.unique(np.rec.fromarrays([row, phrase], names="row,phrase"))
+    return pairs["row"], pairs["phrase"]
+
+
+def word_pieces(batches):
+    """(rows' ids, string column): rows of a few megabytes together; a longer text in
+    parts that overlap by PASSAGE - 1 words."""
+    for rb in slices(batches, "text", CHUNK):
+        data, _ = utf8(rb.column(1))
+        if len(data) <= 2 * CHUNK:
+            yield np.asarray(rb.column(0)), rb.column(1)
+            continue
+        for r in range(rb.num_rows):
+            own, _ = utf8(rb.column(1).slice(r, 1))
+            inside = not_space()[own]
+            inside[1:] &= ~inside[:-1]
+            first = np.append(np.nonzero(inside)[0], len(own))
+            for x in range(0, max(1, len(first) - PASSAGE), PART):
+                part = own[first[x]:first[min(x + PART + PASSAGE - 1, len(first) - 1)]]
+                yield np.asarray(rb.column(0).slice(r, 1)), pa.array([part.tobytes()], pa.binary())
+
+
+def shared_rows(rows: DataFrame) -> DataFrame:
+    """(rid, text) -> (rid, shared): rows with a phrase of words that another rid has too."""
+    def run(batches):
+        for rids, column in word_pieces(batches):
+            row, phrase = word_phrases(column)
+            if not len(row):
+                continue
+            # phrases of several rids here are known to be shared: one line for each, and one for each of
+            # the rids, so that a phrase of very many texts is few lines in its group
+            pairs = np.unique(np.rec.fromarrays([phrase.view(np.int64), rids[row]], names="phrase,rid"))
+            new = np.append(True, pairs["phrase"][1:] != pairs["phrase"][:-1])
+            size = np.diff(np.append(np.nonzero(new)[0], len(pairs)))
+            sure = np.unique(pairs["rid"][np.repeat(size > 1, size)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([pairs["phrase"][new], sure])), pa.array(np.concatenate([pairs["rid"][new], sure])),
+                 pa.array(np.concatenate([size > 1, np.ones(len(sure), dtype=bool)]))], ["phrase", "rid", "known"])
+
+    found = spread_small(rows.select("rid", "text")).mapInArrow(frugal(run), "phrase bigint, rid bigint, known boolean")
+    group = Window.partitionBy("phrase")
+    both = found.select("rid", (F.max("known").over(group) | (F.min("rid").over(group) != F.max("rid").over(group))).alias("shared"))
+    return both.where("shared").groupBy("rid").agg(F.first("shared").alias("shared"))
+
+
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted((s["start"], s["stop"]) for s in spans):
@@ -260,18 +327,23 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    span: int = SPAN, group: int = GROUP) -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed, in bytes).
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed, in bytes), shared
+    (true for every text with a run of ``PASSAGE`` words that another document has too,
+    whatever its bytes, spaces and case of A-Z; runs from ``PHRASE`` words on may count).
 
     Every byte covered by a ``length``-byte string that starts anywhere else,
     in this text or another, is removed.  Null and empty texts have no bytes;
     shorter texts keep all of theirs; repeated rows are copies of each other;
     null ids take part; other columns are not read; an empty table gives an
-    empty result.
+    empty result.  For ``shared``, rows that agree in id and text are one document.
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("rid"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    src = rows.join(repeated_spans(rows, length, span, group), "rid", "left").select("doc_id", "text", "spans")
+    # written first: its tasks hold no memory beside those of the phrases of bytes
+    shared = materialise(shared_rows(rows))
+    found = repeated_spans(rows, length, span, group).join(shared, "rid", "full")
+    src = rows.join(found, "rid", "left").select("doc_id", "text", "spans", F.coalesce("shared", F.lit(False)).alias("shared"))
 
     def run(batches):
         for rb in slices(batches, "text"):
@@ -289,12 +361,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             spans = [[{"start": a, "stop": b} for a, b in cut] for cut in cuts]
             yield pa.RecordBatch.from_arrays(
                 [rb.column(0), pa.array(np.diff(offs)), pa.array(gone, pa.int64()), pa.array([len(c) for c in cuts], pa.int64()),
-                 pa.array(sha), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+                 pa.array(sha), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), rb.column(3)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "shared"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = src.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
-                              "spans array<struct<start:bigint,stop:bigint>>")
+                              "spans array<struct<start:bigint,stop:bigint>>, shared boolean")
     return out.withColumnRenamed("doc_id", id_col)
 
 
