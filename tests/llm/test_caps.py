@@ -1,6 +1,7 @@
 import numpy as np
 from helpers import clashing, groups
 
+from vellum.llm import caps
 from vellum.llm.caps import COSINE, _codes, near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -52,6 +53,21 @@ def test_large_group_and_empty(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_nothing_exploded_is_broadcast(spark, monkeypatch):
+    plans, write = [], caps.materialise
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(caps, "materialise", noted)
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.standard_normal(16)], 3) for i in range(50)]
+    near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    plan = next(p for p in plans if "explode(caps" in p)       # the units' members, of caps that are arrays
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_pairs_meet_under_labels_of_every_size():
     rng = np.random.default_rng(1)
     a, r = (rng.standard_normal((1500, 64)) for _ in range(2))

@@ -224,11 +224,13 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
     nodes = materialise(with_caps(nodes, {r["dim"]: r["n"] for r in counts.collect()}, cosine))
     entries = nodes.select("id", "label", F.size("vector").alias("size"), F.explode("caps").alias("band"))
     entries = entries.select(F.xxhash64("label", "size", "band").alias("key"), "band", "id", F.col("id").alias("component"), "size")
-    some = entries.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    # Spark takes an array for one value when it sizes a table, so what was exploded, and rows with their
+    # caps and vectors, look small enough to be broadcast: these joins are asked to shuffle
+    some = entries.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key").hint("merge")
     work = blocks(entries.join(some, "key", "left_semi")).select("key", "p", "q", "first", F.col("band").alias("cap"), "id")
-    work = in_reach(work.join(nodes.select("id", "small", "error"), "id").select(
+    work = in_reach(work.join(nodes.select("id", "small", "error").hint("merge"), "id").select(
         "key", "p", "q", "first", "cap", "id", "small", "error"), cosine)
-    found = materialise(links_in_units(work.join(nodes.select("id", "copies", "vector", "caps"), "id").select(
+    found = materialise(links_in_units(work.join(nodes.select("id", "copies", "vector", "caps").hint("merge"), "id").select(
         "key", "p", "q", "first", "cap", "id", "copies", "vector", "caps"), cosine))
     linked = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("least").alias("b")))

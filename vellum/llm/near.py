@@ -85,9 +85,12 @@ def units(rows: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple,
 
 def blocks(members: DataFrame) -> DataFrame:
     """Rows (key, band, id, component, size) -> one row (key, p, q, ...) for each pair of
-    blocks p <= q of its key that the member belongs to."""
+    blocks p <= q of its key that the member belongs to.
+
+    There may be nearly as many keys as members, however small Spark takes their totals to be
+    (members may come from an explode), so they are not broadcast."""
     totals = members.groupBy("key").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).alias("_n"))
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).alias("_n")).hint("merge")
     rows = members.join(totals, "key").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_n")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
     rows = rows.withColumn("_o", other)
