@@ -227,3 +227,19 @@ def test_vectors_are_counted_outside_the_interpreted_engine(spark):
     got = df.orderBy("k").collect()
     assert [list(r.v) for r in got] == [v.tolist() for v in HashEmbedder(64)(texts)[0]]
     assert [r.n for r in got] == [0, 0, 9, 3, 1, 4]
+
+
+def test_many_winners_are_joined_and_not_pushed_as_a_list(spark, tmp_path):
+    # the list becomes nested ORs in the Parquet reader: thousands of ids overflow its stack
+    n = 20_000
+    rows = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.col("id").cast("string").alias("content"),
+                                 F.lit("m").alias("metadata"))
+    rows.write.parquet(str(tmp_path / "store"))
+    store = spark.read.parquet(str(tmp_path / "store"))
+    for winners in (50, 1000, n):
+        top = rows.limit(winners).select("id", F.lit(1).alias("rank"))
+        got = late_materialise(top, store, max_rows=winners)
+        plan = plan_of(got)
+        assert ("PushedFilters: [In(" in plan or "In(id" in plan) == (winners == 50)
+        assert "BroadcastHashJoin" in plan
+        assert got.select("id").distinct().count() == got.count() == winners
