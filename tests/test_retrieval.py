@@ -243,3 +243,23 @@ def test_many_winners_are_joined_and_not_pushed_as_a_list(spark, tmp_path):
         assert ("PushedFilters: [In(" in plan or "In(id" in plan) == (winners == 50)
         assert "BroadcastHashJoin" in plan
         assert got.select("id").distinct().count() == got.count() == winners
+
+
+def test_contexts_of_many_questions(spark, tmp_path):
+    from vellum.operators.context import assemble_context, budgeted_blocks, document_block
+    from vellum.plans.build import build_database
+    from vellum.plans.retrieval import embed_questions, retrieve
+    from vellum.sources.store import read_store, write_store
+    words = [f"w{k}" for k in range(300)]
+    files = spark.createDataFrame([("en", f"corpus/en/doc-{k}.txt", "txt", f"{w} tale {w}") for k, w in enumerate(words)],
+                                  "subject string, path string, format string, content string")
+    write_store(build_database(files, include_pdf=False), str(tmp_path / "store"))
+    asked = embed_questions(spark.createDataFrame([(k, f"{w} tale {w}") for k, w in enumerate(words)], "item_id long, text string"))
+    found = retrieve(read_store(spark, str(tmp_path / "store")), asked, k=1, threshold=0.15).localCheckpoint()
+    store = read_store(spark, str(tmp_path / "store"))
+    assert "In(id" not in plan_of(retrieve(store, asked, k=1, threshold=0.15)) and found.count() == len(words)
+    contexts = assemble_context(budgeted_blocks(found.select("query_set_id", "rank", document_block().alias("block")))).collect()
+    assert len(contexts) == len(words)
+    # words that share their place in the vector tie, and the smaller id wins; the rest find their own document
+    own = sum(f"Content: w{r.query_set_id} tale w{r.query_set_id}\n" in r.context for r in contexts)
+    assert own > 60 and all(r.context.count("Content: ") == 1 for r in contexts)
